@@ -36,8 +36,6 @@ CHUNK_ROWS = 4_000_000
 MAX_HOT_KEYS = 10_000
 MAX_CHUNKS = 4_096
 
-_N = "__n"
-
 
 def _numeric(df: DataFrame, name: str) -> Column:
     t = df.schema[name].dataType
@@ -117,7 +115,10 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
             out.append(_add(F.col(f"__p_{name}"), F.col(f"__o_{name}")).alias(name + before_suffix))
     if count_before is not None:
         out.append((F.col("__p_n") + F.coalesce(F.col("__o_n"), F.lit(0))).alias(count_before))
-    return joined.select(*df.columns, *out)
+    names = set(vals) | ({n + before_suffix for n in vals} if before_suffix is not None else set())
+    names |= {count_before} if count_before is not None else set()
+    # an output may reuse an input's name (a sum written over its own column)
+    return joined.select(*[joined[c] for c in df.columns if c not in names], *out)
 
 
 def running_sum(df: DataFrame, key, order, value, out: str = "running", **kw) -> DataFrame:

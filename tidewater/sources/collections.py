@@ -19,5 +19,7 @@ def from_data(spark: SparkSession, rows: Iterable, schema: StructType | DataType
     """
     rows = list(rows)
     if isinstance(schema, DataType) and not isinstance(schema, StructType):
-        return spark.createDataFrame([(r,) for r in rows], f"value {schema.simpleString()}")
+        schema = f"value {schema.simpleString()}"
+    # atomic elements (a stream of strings, of longs) become one-field rows
+    rows = [r if isinstance(r, (tuple, list, dict)) else (r,) for r in rows]
     return spark.createDataFrame(rows, schema)
