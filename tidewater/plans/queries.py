@@ -16,6 +16,7 @@ from tidewater import operators as ops
 from tidewater.functions.rows import parity_tag, prefixed_string
 from tidewater.plans import sql as tsql
 from tidewater.sources import decode_value, generate_orders, read_table
+from tidewater.sources.tables import spread_input
 
 # Fixed values that must equal the reference's.
 STRING_PREFIX = "String->String:"
@@ -26,7 +27,7 @@ DROPPED_WORD = "the"
 
 
 def _words(spark, sf_dir, position: bool = False) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = spread_input(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return ops.tokenize_words(docs, "text", "word", keep=["doc_id"],
                               position="pos" if position else None)
 
@@ -40,7 +41,7 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", "text")
+    docs = spread_input(read_table(spark, sf_dir, "documents", "text"))
     return ops.count_by(ops.tokenize_chars(docs, "text", "char"), "char", "cnt")
 
 

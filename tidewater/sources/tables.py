@@ -42,3 +42,19 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     if os.path.isdir(path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def spread_input(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Round-robin the rows over all task slots when the scan has fewer splits
+    than slots (e.g. a file stored as one large row group), so CPU-heavy
+    per-row work such as tokenizing runs in parallel.
+
+    Decided at planning time from the number of input splits: on a large
+    input with many splits it adds nothing, and no shuffle is planned.
+    """
+    if df.isStreaming:
+        return df
+    slots = slots or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
