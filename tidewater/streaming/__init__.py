@@ -1,0 +1,9 @@
+"""Structured Streaming: draining queries into the shared folder and the
+stateful (``transformWithStateInPandas``) forms of the keyed operators."""
+
+from tidewater.streaming.drain import drain
+from tidewater.streaming.stateful import (processing_time_window_counts, stream_changelog,
+                                          stream_enrich, stream_running_sum)
+
+__all__ = ["drain", "processing_time_window_counts", "stream_changelog", "stream_enrich",
+           "stream_running_sum"]

@@ -1,2 +1,71 @@
-STREAM_QUERIES = {}
-STREAM_ORACLES = {}
+"""Registered streaming queries: a table read as a file stream, processed by
+the streaming form of an operator, drained with ``availableNow`` into the
+shared folder and returned as the result table.  They share the batch
+queries' oracles: the drained table must equal the batch answer."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater import operators as ops
+from tidewater.plans.oracles import ORACLES
+from tidewater.plans.queries import WINDOW_SIZE
+from tidewater.sources import table_stream
+from tidewater.streaming.drain import drain
+from tidewater.streaming.stateful import stream_changelog, stream_enrich, stream_running_sum
+
+WATERMARK = "10 minutes"
+
+
+def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = ops.count_by(ops.tokenize_words(docs, "text", "word"), "word", "cnt")
+    return drain(counts, "word-count", "complete")
+
+
+def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time 5 s windows with a watermark, update mode; the drained table
+    keeps the latest count of each window."""
+    ev = table_stream(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    win = ops.tumbling_aggregate(ev, "ts", WINDOW_SIZE, "event_type", out="cnt", watermark=WATERMARK)
+    out = drain(win, "tumbling", "update", keys=["window_start", "event_type"])
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def stream_enrich_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = table_stream(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("subject"),
+        F.col("o_totalprice").alias("score"))
+    users = table_stream(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return drain(stream_enrich(scores, users, "id", ["subject", "score"], ["name"]), "enrich", "append")
+
+
+def stream_changelog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table_stream(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    return drain(stream_changelog(ev, "event_type", "event_id", "user_id", out="s"), "changelog", "append")
+
+
+def stream_running_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table_stream(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    return drain(stream_running_sum(ev, "event_type", "event_id", "user_id", out="running"),
+                 "running", "append")
+
+
+STREAM_QUERIES = {
+    "stream_word_count": stream_word_count,
+    "stream_tumbling_count": stream_tumbling_count,
+    "stream_enrich": stream_enrich_q,
+    "stream_changelog": stream_changelog_q,
+    "stream_running_sum": stream_running_sum_q,
+}
+
+STREAM_ORACLES = {
+    "stream_word_count": ORACLES["word_count"],
+    "stream_tumbling_count": ORACLES["tumbling_count"],
+    "stream_enrich": ORACLES["broadcast_enrich"],
+    "stream_changelog": ORACLES["changelog_sum"],
+    "stream_running_sum": ORACLES["running_sum"],
+}
