@@ -142,3 +142,106 @@ def test_processing_time_window_fires_on_idle_input(spark, tmp_dir):
         assert got == {"a": 3, "b": 1}
     finally:
         q.stop()
+
+
+def _wait_rows(spark, schema, path, n, timeout=60):
+    deadline = time.time() + timeout
+    while time.time() < deadline:
+        time.sleep(1)
+        try:
+            rows = spark.read.schema(schema).parquet(path).collect()
+            if len(rows) >= n:
+                return rows
+        except Exception:
+            pass
+    return []
+
+
+def test_rate_limited_order_stream(spark, tmp_dir):
+    import re
+    from tidewater.sources import order_stream
+    q = (order_stream(spark, rows_per_second=10, num_partitions=2).writeStream.format("parquet")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(processingTime="500 milliseconds")
+         .start(f"{tmp_dir}/out"))
+    try:
+        rows = _wait_rows(spark, "seq bigint, id string, userId int, money int, createTime bigint",
+                          f"{tmp_dir}/out", 10)
+    finally:
+        q.stop()
+    assert len(rows) >= 10 and len({r.id for r in rows}) == len(rows)
+    assert all(re.fullmatch(r"[0-9A-F]{32}", r.id) and 0 <= r.userId < 1000 and 0 <= r.money < 1000
+               and r.createTime > 1_600_000_000_000 for r in rows)
+
+
+def test_processing_time_window_watermark_form(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    put(src, [{"word": w} for w in "a a b".split()])
+    df = spark.readStream.schema("word string").json(src)
+    win = ops.processing_time_window(df, "1 second", "word")
+    q = (win.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(processingTime="300 milliseconds")
+         .start(f"{tmp_dir}/out"))
+    try:
+        time.sleep(3)
+        put(src, [{"word": "c"}])  # a later batch moves the watermark past the first window
+        rows = _wait_rows(spark, "window_start timestamp, word string, cnt bigint", f"{tmp_dir}/out", 2)
+    finally:
+        q.stop()
+    got = {r.word: r.cnt for r in rows}
+    assert got.get("a") == 2 and got.get("b") == 1
+
+
+def test_fan_out_and_rolling_text_stream(spark, tmp_dir):
+    from tidewater.sinks import read_buckets, rolling_text_stream
+    from tidewater.streaming import fan_out_stream
+    src = f"{tmp_dir}/in"
+    put(src, [{"value": v} for v in ["aaa", "bbb", "ccc", "ddd", "ew2"] * 2])
+    df = spark.readStream.schema("value string").json(src)
+
+    def to_parquet(b, i):
+        b.write.mode("append").parquet(f"{tmp_dir}/copy")
+
+    def to_count(b, i):
+        b.groupBy().count().write.mode("append").parquet(f"{tmp_dir}/count")
+
+    q = fan_out_stream(df, [to_parquet, to_count], f"{tmp_dir}/ckpt1", {"availableNow": True})
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_dir}/copy").count() == 10
+    assert spark.read.parquet(f"{tmp_dir}/count").first()[0] == 10
+    q2 = rolling_text_stream(df, f"{tmp_dir}/files", f"{tmp_dir}/ckpt2", trigger="1 second")
+    try:
+        deadline = time.time() + 60
+        n = 0
+        while time.time() < deadline and n < 10:
+            time.sleep(1)
+            try:
+                n = read_buckets(spark, f"{tmp_dir}/files").count()
+            except Exception:
+                pass
+    finally:
+        q2.stop()
+    assert n == 10
+
+
+def test_row_sink_open_invoke_close(spark, tmp_dir):
+    from tidewater.streaming import RowSink, row_sink_stream
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/rows"
+    os.makedirs(out)
+    put(src, [{"value": i} for i in range(7)])
+
+    class FileRows(RowSink):
+        def open(self, partition_id, epoch_id):
+            self.f = open(f"{out}/{partition_id}-{epoch_id}-{uuid.uuid4().hex}.txt", "w")
+            return True
+
+        def invoke(self, row):
+            self.f.write(f"{row.value}\n")
+
+        def close(self, error):
+            self.f.close()
+
+    df = spark.readStream.schema("value int").json(src)
+    q = row_sink_stream(df, FileRows, f"{tmp_dir}/ckpt", {"availableNow": True})
+    q.awaitTermination(120)
+    got = sorted(int(x) for p in os.listdir(out) for x in open(f"{out}/{p}").read().split())
+    assert got == list(range(7))

@@ -2,8 +2,9 @@
 stateful (``transformWithStateInPandas``) forms of the keyed operators."""
 
 from tidewater.streaming.drain import drain
+from tidewater.streaming.sinks import RowSink, fan_out_stream, row_sink_stream
 from tidewater.streaming.stateful import (processing_time_window_counts, stream_changelog,
                                           stream_enrich, stream_running_sum)
 
-__all__ = ["drain", "processing_time_window_counts", "stream_changelog", "stream_enrich",
+__all__ = ["drain", "RowSink", "fan_out_stream", "row_sink_stream", "processing_time_window_counts", "stream_changelog", "stream_enrich",
            "stream_running_sum"]
