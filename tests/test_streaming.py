@@ -245,3 +245,15 @@ def test_row_sink_open_invoke_close(spark, tmp_dir):
     q.awaitTermination(120)
     got = sorted(int(x) for p in os.listdir(out) for x in open(f"{out}/{p}").read().split())
     assert got == list(range(7))
+
+
+def test_enrich_hot_key_spread_over_salts(spark, tmp_dir):
+    users_dir, scores_dir = f"{tmp_dir}/users", f"{tmp_dir}/scores"
+    put(scores_dir, [{"id": 1, "subject": f"s{i}", "score": i} for i in range(200)]
+        + [{"id": 2, "subject": "x", "score": 7}])
+    put(users_dir, [{"id": 1, "name": "hot"}, {"id": 2, "name": "cold"}])
+    u = spark.readStream.schema("id int, name string").json(users_dir)
+    s = spark.readStream.schema("id int, subject string, score int").json(scores_dir)
+    res = drain(stream_enrich(s, u, "id", ["subject", "score"], ["name"], salts=4), "hot", "append")
+    got = sorted(map(tuple, res.collect()))
+    assert got == sorted([(1, "hot", f"s{i}", i) for i in range(200)] + [(2, "cold", "x", 7)])

@@ -25,15 +25,21 @@ def _bucketed(df: DataFrame, value: str, bucket_time: str | None) -> DataFrame:
 
 def write_rolling_text(df: DataFrame, path: str, value: str = "value",
                        bucket_time: str | None = None, max_records_per_file: int = 0,
-                       mode: str = "append") -> None:
+                       mode: str = "append", files_per_bucket: int | None = None) -> None:
     """Write ``value`` as UTF-8 lines under ``path/bucket=.../``.
 
     ``bucket_time`` names the timestamp deciding the bucket; None uses the
-    processing clock, as the reference does.  There is no shuffle: each task
-    sorts its own rows by bucket and writes one file per bucket it holds, so
-    a bucket holding much of the data is still written by many tasks.
+    processing clock, as the reference does.  By default there is no
+    shuffle: each task sorts its own rows by bucket and writes one file per
+    bucket it holds, which suits time-ordered input.  ``files_per_bucket=k``
+    shuffles rows by ``(bucket, hash(line) % k)`` instead: at most ``k``
+    files per bucket, and a bucket holding much of the data still spreads
+    over ``k`` tasks (the hash keeps a retried task's rows in place).
     """
     out = _bucketed(df, value, bucket_time)
+    if files_per_bucket:
+        salt = F.pmod(F.xxhash64("value"), F.lit(files_per_bucket))
+        out = out.repartition(F.col(BUCKET), salt)
     (out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(BUCKET).text(path))
 

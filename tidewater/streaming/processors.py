@@ -73,23 +73,25 @@ class EnrichProcessor(StatefulProcessor):
         pdf = _rows(rows)
         if pdf.empty:
             return
+        dim = None
         dims = pdf[pdf[SIDE] == DIMENSION]
-        if self.order and not dims.empty:
-            dims = dims.sort_values(self.order, kind="stable")
-        for _, d in dims.iterrows():
-            dim = tuple(_py(d[c]) for c in self.dim_cols)
-            self.value.update(dim)
-            if self.buffer.exists():
-                waiting = list(self.buffer.get())
+        if not dims.empty:
+            if self.order:
+                dims = dims.sort_values(self.order, kind="stable")
+            waiting = list(self.buffer.get()) if self.buffer.exists() else []
+            for d in dims[self.dim_cols].itertuples(index=False):
+                dim = tuple(_py(v) for v in d)
                 if waiting:
                     yield self._out(k, dim, waiting)
-                if self.clear_buffer:
-                    self.buffer.clear()
+            self.value.update(dim)  # last write wins
+            if waiting and self.clear_buffer:
+                self.buffer.clear()
         recs = pdf[pdf[SIDE] == RECORD]
         if recs.empty:
             return
-        if self.value.exists():
+        if dim is None:
             dim = self.value.get()
+        if dim is not None:
             out = recs[self.rec_cols].copy()
             out.insert(0, self.key, k)
             for i, c in enumerate(self.dim_cols):

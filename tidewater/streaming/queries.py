@@ -21,7 +21,8 @@ WATERMARK = "10 minutes"
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ops.count_by(ops.tokenize_words(docs, "text", "word"), "word", "cnt")
-    return drain(counts, "word-count", "complete")
+    # update mode: each batch emits only the words it changed, not the table
+    return drain(counts, "word-count", "update", keys="word")
 
 
 def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,9 @@ from tidewater.streaming.processors import (DIMENSION, RECORD, SIDE, EnrichProce
                                             ProcessingTimeWindowProcessor, RunningSumProcessor)
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+SALT = "tw_salt"
+# Tasks one key's records spread over in the streaming enrichment.
+SALTS = 4
 
 
 def _ensure_rocksdb(df: DataFrame) -> None:
@@ -24,12 +27,15 @@ def _ensure_rocksdb(df: DataFrame) -> None:
 
 
 def stream_enrich(records: DataFrame, dimension: DataFrame, key: str, record_cols, dim_cols,
-                  order: str | None = None, clear_buffer: bool = False) -> DataFrame:
+                  order: str | None = None, clear_buffer: bool = False,
+                  salts: int = SALTS) -> DataFrame:
     """Enrich a keyed record stream from a dimension stream with buffering.
 
     Both inputs are projected to one tagged schema, unioned and grouped by
-    ``key``: the dimension is partitioned by the same key as the records, so
-    each task keeps only its keys' state instead of a full broadcast copy.
+    ``(key, salt)``: each task keeps only its keys' state instead of a full
+    broadcast copy.  Records take a salt from a hash of their values, so one
+    hot key's records spread over ``salts`` tasks; every dimension row is
+    copied to all salts, so each group sees the key's current value.
     (For a static dimension use ``tidewater.operators.enrich``.)
     Output: ``key``, ``dim_cols``, ``record_cols``.
     """
@@ -42,15 +48,22 @@ def stream_enrich(records: DataFrame, dimension: DataFrame, key: str, record_col
     def null(field):
         return F.lit(None).cast(field.dataType).alias(field.name)
 
-    rec = records.select(F.col(key), F.lit(RECORD).alias(SIDE), *[F.col(c) for c in record_cols],
+    salt_rec = F.pmod(F.xxhash64(*[F.col(c) for c in record_cols]), F.lit(salts)).cast("int")
+    salt_dim = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    # both sides must give the state key the same (non-null) type on every run
+    pinned = F.coalesce(F.col(SALT), F.lit(0)).alias(SALT)
+    rec = records.select(F.col(key), salt_rec.alias(SALT), F.lit(RECORD).alias(SIDE),
+                         *[F.col(c) for c in record_cols],
                          *[null(f) for f in dim_schema.fields],
                          *[null(dimension.schema[c]) for c in extra])
-    dim = dimension.select(F.col(key), F.lit(DIMENSION).alias(SIDE),
+    dim = dimension.select(F.col(key), salt_dim.alias(SALT), F.lit(DIMENSION).alias(SIDE),
                            *[null(f) for f in rec_schema.fields], *[F.col(c) for c in dim_cols],
                            *[F.col(c) for c in extra])
     out = StructType([records.schema[key], *dim_schema.fields, *rec_schema.fields])
     proc = EnrichProcessor(key, dim_schema, rec_schema, order=order, clear_buffer=clear_buffer)
-    return (rec.unionByName(dim).groupBy(key)
+    both = rec.unionByName(dim)
+    both = both.select(*[pinned if c == SALT else F.col(c) for c in both.columns])
+    return (both.groupBy(key, SALT)
             .transformWithStateInPandas(proc, out, "Append", "None"))
 
 
