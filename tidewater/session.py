@@ -21,6 +21,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # checkpoint RocksDB state as changelogs instead of full snapshots each batch
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -44,18 +46,20 @@ def get_session(master: str | None = None, app_name: str = "tidewater",
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the library defaults on an existing session where they are unset."""
+    """Set the library defaults on an existing session for every key the
+    cluster's configuration does not set itself."""
+    cluster = spark.sparkContext.getConf()
     for k, v in DEFAULTS.items():
-        if spark.conf.get(k, None) in (None, ""):
-            spark.conf.set(k, v)
-    # the state store provider must be RocksDB for list/map state; only
-    # replace the built-in default, never a provider the user chose.
-    key = "spark.sql.streaming.stateStore.providerClass"
-    cur = spark.conf.get(key, None)
-    if cur is None or cur.endswith("HDFSBackedStateStoreProvider"):
+        if cluster.contains(k):
+            continue
+        if k == "spark.sql.streaming.stateStore.providerClass":
+            # list/map state needs RocksDB; replace only Spark's built-in default
+            cur = spark.conf.get(k, None)
+            if cur and not cur.endswith("HDFSBackedStateStoreProvider"):
+                continue
         try:
-            spark.conf.set(key, ROCKSDB_PROVIDER)
-        except Exception:  # pragma: no cover - set once a query ran
+            spark.conf.set(k, v)
+        except Exception:  # pragma: no cover - a static setting, fixed at startup
             pass
 
 
