@@ -257,3 +257,39 @@ def test_enrich_hot_key_spread_over_salts(spark, tmp_dir):
     res = drain(stream_enrich(s, u, "id", ["subject", "score"], ["name"], salts=4), "hot", "append")
     got = sorted(map(tuple, res.collect()))
     assert got == sorted([(1, "hot", f"s{i}", i) for i in range(200)] + [(2, "cold", "x", 7)])
+
+
+def test_stream_keyed_reduce_per_record(spark, tmp_dir):
+    from tidewater.streaming import stream_keyed_reduce
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    batches = [[{"seq": 0, "word": "hadoop", "one": 1}, {"seq": 1, "word": "spark", "one": 1},
+                {"seq": 2, "word": "hadoop", "one": 1}],
+               [{"seq": 3, "word": "hadoop", "one": 1}, {"seq": 4, "word": "spark", "one": 1}]]
+    for rows in batches:
+        put(src, rows)
+        df = spark.readStream.schema("seq bigint, word string, one bigint").json(src)
+        res = drain(stream_keyed_reduce(df, "word", "seq", "one", lambda a, b: a + b), "red", "append",
+                    path=out)
+    got = [(r.seq, r.word, r.one) for r in res.orderBy("seq").collect()]
+    assert got == [(0, "hadoop", 1), (1, "spark", 1), (2, "hadoop", 2), (3, "hadoop", 3), (4, "spark", 2)]
+
+
+def test_stream_observed_count_and_routed_outputs(spark, tmp_dir):
+    from tidewater.streaming import route_stream
+    src = f"{tmp_dir}/in"
+    put(src, [{"value": v} for v in range(1, 11)])
+    df = spark.readStream.schema("value int").json(src)
+    counted, name = ops.observed_count(df, "elementCounter")
+    from tidewater.functions.rows import parity_tag
+
+    def sink(tag):
+        return lambda b, i: b.write.mode("append").parquet(f"{tmp_dir}/{tag}")
+
+    q = route_stream(counted, parity_tag("value"), {"even": sink("even"), "odd": sink("odd")},
+                     f"{tmp_dir}/ckpt", {"availableNow": True})
+    q.awaitTermination(120)
+    assert sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/even").collect()) == [2, 4, 6, 8, 10]
+    assert sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/odd").collect()) == [1, 3, 5, 7, 9]
+    seen = sum(p["observedMetrics"][name]["elementCounter"] for p in q.recentProgress
+               if name in p.get("observedMetrics", {}))
+    assert seen == 10

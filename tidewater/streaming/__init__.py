@@ -2,9 +2,10 @@
 stateful (``transformWithStateInPandas``) forms of the keyed operators."""
 
 from tidewater.streaming.drain import drain
-from tidewater.streaming.sinks import RowSink, fan_out_stream, row_sink_stream
+from tidewater.streaming.sinks import RowSink, fan_out_stream, route_stream, row_sink_stream
 from tidewater.streaming.stateful import (processing_time_window_counts, stream_changelog,
-                                          stream_enrich, stream_running_sum)
+                                          stream_enrich, stream_keyed_reduce, stream_running_sum)
 
-__all__ = ["drain", "RowSink", "fan_out_stream", "row_sink_stream", "processing_time_window_counts", "stream_changelog", "stream_enrich",
-           "stream_running_sum"]
+__all__ = ["drain", "RowSink", "fan_out_stream", "row_sink_stream", "route_stream",
+           "stream_keyed_reduce", "processing_time_window_counts", "stream_changelog",
+           "stream_enrich", "stream_running_sum"]

@@ -154,6 +154,38 @@ class RunningSumProcessor(StatefulProcessor):
         pass
 
 
+class RunningReduceProcessor(StatefulProcessor):
+    """Per-record keyed reduce with a user combine function ``(v1, v2) -> v``:
+    the key's first value, then ``fn(acc, v)`` for each later record, one
+    output row per record, in ``order`` within each batch."""
+
+    def __init__(self, key: str, order: str, value: str, fn, value_type):
+        self.key, self.order, self.value_col, self.fn = key, order, value, fn
+        self.value_type = value_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", StructType([StructField("v", self.value_type)]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(self.order, kind="stable")
+        state = self.acc.get()
+        acc = state[0] if state is not None else None
+        out = []
+        for v in pdf[self.value_col].tolist():
+            v = _py(v)
+            acc = v if acc is None else self.fn(acc, v)
+            out.append(acc)
+        self.acc.update((acc,))
+        yield pd.DataFrame({self.order: pdf[self.order].to_numpy(), self.key: _py(key[0]),
+                            self.value_col: out})
+
+    def close(self) -> None:
+        pass
+
+
 class ProcessingTimeWindowProcessor(StatefulProcessor):
     """Tumbling processing-time windows per key, fired by timers.
 

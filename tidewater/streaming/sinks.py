@@ -61,3 +61,20 @@ def row_sink_stream(df: DataFrame, sink_factory: Callable[[], RowSink], checkpoi
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
+
+
+def route_stream(df: DataFrame, tags, outputs: dict[str, Callable[[DataFrame, int], None]],
+                 checkpoint: str, trigger: dict | None = None):
+    """Side outputs on a stream: tag each row (``tidewater.operators.route``)
+    and hand each tag's rows of every micro-batch to ``outputs[tag]``; the
+    source is read once per batch."""
+    from pyspark.sql import functions as F
+    from tidewater.operators.rowops import route
+
+    routed = route(df, tags)
+
+    def consumer(tag, fn):
+        return lambda b, i: fn(b.filter(F.col(routed.tag_col) == F.lit(tag)).drop(routed.tag_col), i)
+
+    return fan_out_stream(routed.tagged, [consumer(t, f) for t, f in outputs.items()], checkpoint,
+                          trigger)

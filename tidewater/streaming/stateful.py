@@ -12,7 +12,8 @@ from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, S
 
 from tidewater.session import ROCKSDB_PROVIDER
 from tidewater.streaming.processors import (DIMENSION, RECORD, SIDE, EnrichProcessor,
-                                            ProcessingTimeWindowProcessor, RunningSumProcessor)
+                                            ProcessingTimeWindowProcessor, RunningReduceProcessor,
+                                            RunningSumProcessor)
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 SALT = "tw_salt"
@@ -90,6 +91,18 @@ def stream_changelog(df: DataFrame, key: str, order: str, value: str, out: str =
     return _running(df, key, order, value, out, "changelog")
 
 
+def stream_keyed_reduce(df: DataFrame, key: str, order: str, value: str, fn) -> DataFrame:
+    """Streaming keyed reduce with a Python combine function: one row per
+    record carrying the key's reduced value so far (``order``, ``key``, ``value``).
+    Named reducers need no Python: ``groupBy(key).agg(...)`` in update mode."""
+    _ensure_rocksdb(df)
+    vtype = df.schema[value].dataType
+    schema = StructType([df.schema[order], df.schema[key], StructField(value, vtype)])
+    proc = RunningReduceProcessor(key, order, value, fn, vtype)
+    return (df.select(key, order, value).groupBy(key)
+            .transformWithStateInPandas(proc, schema, "Append", "None"))
+
+
 def processing_time_window_counts(df: DataFrame, key: str, size_ms: int, value: str | None = None,
                                   out: str = "cnt") -> DataFrame:
     """Tumbling processing-time windows that fire on the clock, idle input included."""
