@@ -45,13 +45,15 @@ def write_rolling_text(df: DataFrame, path: str, value: str = "value",
 
 
 def rolling_text_stream(df: DataFrame, path: str, checkpoint: str, value: str = "value",
-                        bucket_time: str | None = None, trigger: str = "20 seconds",
+                        bucket_time: str | None = None, trigger: str | None = "20 seconds",
                         max_records_per_file: int = 0):
-    """Streaming form: exactly-once file sink, one set of part files per trigger."""
-    return (_bucketed(df, value, bucket_time).writeStream.format("text")
-            .option("checkpointLocation", checkpoint)
-            .option("maxRecordsPerFile", max_records_per_file)
-            .partitionBy(BUCKET).trigger(processingTime=trigger).start(path))
+    """Streaming form: exactly-once file sink, one set of part files per
+    trigger.  ``trigger=None`` processes the available input and stops."""
+    w = (_bucketed(df, value, bucket_time).writeStream.format("text")
+         .option("checkpointLocation", checkpoint)
+         .option("maxRecordsPerFile", max_records_per_file).partitionBy(BUCKET))
+    w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
+    return w.start(path)
 
 
 def read_buckets(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,11 @@
 stateful (``transformWithStateInPandas``) forms of the keyed operators."""
 
 from tidewater.streaming.drain import drain
-from tidewater.streaming.sinks import RowSink, fan_out_stream, route_stream, row_sink_stream
+from tidewater.streaming.sinks import (RowSink, fan_out_stream, observed_batches, route_stream,
+                                      row_sink_stream)
 from tidewater.streaming.stateful import (processing_time_window_counts, stream_changelog,
                                           stream_enrich, stream_keyed_reduce, stream_running_sum)
 
-__all__ = ["drain", "RowSink", "fan_out_stream", "row_sink_stream", "route_stream",
+__all__ = ["drain", "RowSink", "observed_batches", "fan_out_stream", "row_sink_stream", "route_stream",
            "stream_keyed_reduce", "processing_time_window_counts", "stream_changelog",
            "stream_enrich", "stream_running_sum"]

@@ -5,19 +5,31 @@ queries' oracles: the drained table must equal the batch answer."""
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater import operators as ops
+from tidewater.functions.rows import parity_tag, prefixed_string
+from tidewater.plans import sql as tsql
 from tidewater.plans.oracles import ORACLES
-from tidewater.plans.queries import WINDOW_SIZE
-from tidewater.sources import table_stream
+from tidewater.plans.queries import LONG_PREFIX, STRING_PREFIX, WINDOW_SIZE
+from tidewater.session import scratch_path
+from tidewater.sinks.rolling_file import read_buckets, rolling_text_stream
+from tidewater.sources import decode_value, generate_orders, table_stream
 from tidewater.streaming.drain import drain
-from tidewater.streaming.stateful import stream_changelog, stream_enrich, stream_running_sum
+from tidewater.streaming.sinks import observed_batches, route_stream
+from tidewater.streaming.stateful import (stream_changelog, stream_enrich, stream_keyed_reduce,
+                                          stream_running_sum)
 
 WATERMARK = "10 minutes"
 
 
+def _events(spark, sf_dir, *cols) -> DataFrame:
+    return table_stream(spark, sf_dir, "events").select(*cols)
+
+
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ops.count_by(ops.tokenize_words(docs, "text", "word"), "word", "cnt")
@@ -28,8 +40,7 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-time 5 s windows with a watermark, update mode; the drained table
     keeps the latest count of each window."""
-    ev = table_stream(spark, sf_dir, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    ev = _events(spark, sf_dir, F.col("ts").cast("timestamp").alias("ts"), "event_type")
     win = ops.tumbling_aggregate(ev, "ts", WINDOW_SIZE, "event_type", out="cnt", watermark=WATERMARK)
     out = drain(win, "tumbling", "update", keys=["window_start", "event_type"])
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
@@ -45,22 +56,120 @@ def stream_enrich_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_changelog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table_stream(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
     return drain(stream_changelog(ev, "event_type", "event_id", "user_id", out="s"), "changelog", "append")
 
 
 def stream_running_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table_stream(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
     return drain(stream_running_sum(ev, "event_type", "event_id", "user_id", out="running"),
                  "running", "append")
 
 
+def stream_keyed_reduce_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-record reduce with a Python ``(v1, v2) -> v1 + v2``: the running sum."""
+    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
+    red = stream_keyed_reduce(ev, "event_type", "event_id", "user_id", operator.add)
+    return drain(red, "reduce", "append").withColumnRenamed("user_id", "running")
+
+
+def stream_sql_group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL aggregation over a view of a stream (an updating table)."""
+    li = table_stream(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.col("l_quantity").cast("bigint"))
+    return drain(tsql.sql_group_sum(spark, li, view="StreamInput"), "sql-sum", "update", keys="name")
+
+
+def stream_sql_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table_stream(spark, sf_dir, "customer").select("c_name")
+    return drain(tsql.sql_upper(spark, names, view="StreamNames"), "sql-upper", "append")
+
+
+def stream_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _events(spark, sf_dir, F.col("user_id").alias("id"))
+    b = table_stream(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))
+    return drain(ops.union_all(a, b), "union", "append")
+
+
+def stream_connect_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table_stream(spark, sf_dir, "customer").select("c_name")
+    keys = table_stream(spark, sf_dir, "orders").select("o_orderkey")
+    out = ops.connect_map(names, keys, prefixed_string("c_name", STRING_PREFIX),
+                          prefixed_string("o_orderkey", LONG_PREFIX))
+    return drain(out, "connect", "append")
+
+
+def stream_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
+    return drain(ops.latest_by_key(ev, "event_type", "event_id", "user_id"), "latest", "update",
+                 keys="event_type")
+
+
+def stream_generate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seq = table_stream(spark, sf_dir, "orders").select("o_orderkey")
+    return drain(generate_orders(seq, "o_orderkey"), "generate", "append")
+
+
+def stream_decode_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table_stream(spark, sf_dir, "documents").select(
+        "doc_id", F.encode("text", "UTF-8").alias("value"))
+    return drain(decode_value(docs).withColumnRenamed("value", "text"), "decode", "append")
+
+
+def stream_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each tag's rows written to its own output from one read of the stream."""
+    base = scratch_path(spark, "stream-route")
+    tags = ("even", "odd")
+
+    def writer(tag):
+        return lambda b, i: b.write.mode("overwrite").parquet(f"{base}/{tag}/batch={i}")
+
+    q = route_stream(_events(spark, sf_dir, "event_id"), parity_tag("event_id"),
+                     {t: writer(t) for t in tags}, f"{base}/checkpoint", {"availableNow": True})
+    q.awaitTermination()
+    return ops.union_all(*[spark.read.parquet(f"{base}/{t}").select("event_id", F.lit(t).alias("tag"))
+                           for t in tags])
+
+
+def stream_observed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job-wide counter over a stream: per-batch observed counts, summed."""
+    base = scratch_path(spark, "stream-observe")
+    li = table_stream(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    q = observed_batches(li, "counter", lambda b, i: b.write.format("noop").mode("overwrite").save(),
+                         f"{base}/metrics", f"{base}/checkpoint", {"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/metrics").agg(F.sum("counter").cast("bigint").alias("counter"))
+
+
+def stream_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as text lines through the streaming rolling-file sink."""
+    base = scratch_path(spark, "stream-files")
+    ev = _events(spark, sf_dir, "event_id", "ts", "event_type")
+    lines = ev.select(F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"),
+                      "ts")
+    q = rolling_text_stream(lines, f"{base}/data", f"{base}/checkpoint", bucket_time="ts",
+                            trigger=None)
+    q.awaitTermination()
+    return read_buckets(spark, f"{base}/data").select("bucket", "value")
+
+
 STREAM_QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
     "stream_enrich": stream_enrich_q,
     "stream_changelog": stream_changelog_q,
     "stream_running_sum": stream_running_sum_q,
+    "stream_keyed_reduce": stream_keyed_reduce_q,
+    "stream_sql_group_sum": stream_sql_group_sum,
+    "stream_sql_upper": stream_sql_upper,
+    "stream_union_all": stream_union_all,
+    "stream_connect_map": stream_connect_map,
+    "stream_latest_by_key": stream_latest_by_key,
+    "stream_generate_orders": stream_generate_orders,
+    "stream_decode_value": stream_decode_value,
+    "stream_side_output": stream_side_output,
+    "stream_observed_count": stream_observed_count,
+    "stream_file_sink": stream_file_sink,
 }
 
 STREAM_ORACLES = {
@@ -69,4 +178,15 @@ STREAM_ORACLES = {
     "stream_enrich": ORACLES["broadcast_enrich"],
     "stream_changelog": ORACLES["changelog_sum"],
     "stream_running_sum": ORACLES["running_sum"],
+    "stream_keyed_reduce": ORACLES["running_sum"],
+    "stream_sql_group_sum": ORACLES["sql_group_sum"],
+    "stream_sql_upper": ORACLES["sql_upper"],
+    "stream_union_all": ORACLES["union_all"],
+    "stream_connect_map": ORACLES["connect_map"],
+    "stream_latest_by_key": ORACLES["latest_by_key"],
+    "stream_generate_orders": ORACLES["generate_orders"],
+    "stream_decode_value": ORACLES["decode_value"],
+    "stream_side_output": ORACLES["side_output"],
+    "stream_observed_count": ORACLES["observed_count"],
+    "stream_file_sink": ORACLES["file_sink_roundtrip"],
 }

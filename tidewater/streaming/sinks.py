@@ -78,3 +78,23 @@ def route_stream(df: DataFrame, tags, outputs: dict[str, Callable[[DataFrame, in
 
     return fan_out_stream(routed.tagged, [consumer(t, f) for t, f in outputs.items()], checkpoint,
                           trigger)
+
+
+def observed_batches(df: DataFrame, name: str, write: Callable[[DataFrame, int], None],
+                     metrics_path: str, checkpoint: str, trigger: dict | None = None):
+    """Run ``write`` on every micro-batch with a row counter attached, and
+    store each batch's count under ``metrics_path/batch=<id>`` (overwritten
+    on replay, so every batch counts once).  The job-wide total is a Spark
+    sum over that table."""
+    from tidewater.operators.aggregate import observed_count
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        counted, obs = observed_count(batch, name)
+        write(counted, batch_id)
+        n = int(obs.get.get(name, 0))
+        batch.sparkSession.createDataFrame([(n,)], f"{name} bigint").write.mode("overwrite") \
+            .parquet(f"{metrics_path}/batch={batch_id}")
+    w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
