@@ -69,5 +69,7 @@ WHERE rn > 1 AND p IS DISTINCT FROM s""",
     "upsert_latest": f"SELECT word, COUNT(*) AS cnt FROM {_WORDS_TABLE} GROUP BY word",
     "file_sink_roundtrip": "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, "
                            "CAST(event_id AS VARCHAR) || ',' || event_type AS value FROM events",
+    "file_sink_named_parts": "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, "
+                             "CAST(event_id AS VARCHAR) || ',' || event_type AS value FROM events",
     "jdbc_roundtrip": "SELECT n_name AS name, n_regionkey AS region FROM nation",
 }

@@ -169,6 +169,19 @@ def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_buckets(spark, path).select("bucket", "value")
 
 
+def file_sink_named_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines through the named-part sink (``test-...txt`` parts in
+    ``yyyy-MM-dd--HH`` folders, rolled by size), read back."""
+    from tidewater.session import scratch_path
+    from tidewater.sinks.rolling_file import read_named_parts, write_named_parts
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type")
+    lines = ev.select(F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"),
+                      "ts")
+    path = scratch_path(spark, "named-parts")
+    write_named_parts(lines, path, bucket_time="ts", max_part_bytes=64 * 1024)
+    return read_named_parts(spark, path)
+
+
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``nation`` inserted through the JDBC sink and read back.
 
@@ -208,5 +221,6 @@ QUERIES = {
     "decode_value": decode_value_q,
     "upsert_latest": upsert_latest,
     "file_sink_roundtrip": file_sink_roundtrip,
+    "file_sink_named_parts": file_sink_named_parts,
     "jdbc_roundtrip": jdbc_roundtrip,
 }

@@ -1,0 +1,192 @@
+"""K2 with the reference's file naming and size roll, as a Python data source.
+
+``df.write.format("tidewater_rolling_text")`` (batch) or ``writeStream.format(...)``
+writes the ``value`` column as UTF-8 lines into ``<path>/<bucket>/`` folders.
+Executors write hidden in-progress part files (``.<prefix>-...<suffix>.inprogress``),
+start a new part when one reaches ``max_part_bytes`` and report their files;
+the driver's commit renames them to ``<prefix>-<job>-<task>-<n><suffix>``,
+so readers never see partial files.  Files of failed attempts are never
+renamed and are removed at commit; an aborted job removes its own.
+
+Paths go through ``pyarrow.fs`` (local, HDFS, S3, GCS, ...), so executors
+and driver must see the same filesystem, as with any Spark sink.
+Input: columns ``value`` (string) and ``bucket`` (string), as produced by
+``tidewater.sinks.rolling_file.bucketed``.
+"""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter,
+                                    WriterCommitMessage)
+
+FORMAT = "tidewater_rolling_text"
+DEFAULT_MAX_PART_BYTES = 1024 * 1024 * 1024
+
+
+@dataclass
+class WrittenFiles(WriterCommitMessage):
+    files: list = field(default_factory=list)  # (in-progress path, final path)
+
+
+class _Options:
+    def __init__(self, options):
+        self.path = options["path"].rstrip("/")
+        self.prefix = options.get("prefix", "part")
+        self.suffix = options.get("suffix", "")
+        self.max_bytes = int(options.get("max_part_bytes", DEFAULT_MAX_PART_BYTES))
+
+
+def _fs(path: str):
+    from pyarrow import fs
+    return fs.FileSystem.from_uri(path)
+
+
+class _PartWriter:
+    """Writes one task's rows, one open part file per bucket."""
+
+    def __init__(self, opts: _Options, job: str):
+        from pyspark import TaskContext
+        tc = TaskContext.get()
+        self.task = tc.partitionId() if tc else 0
+        self.attempt = tc.attemptNumber() if tc else 0
+        self.opts, self.job = opts, job
+        self.fs, self.root = _fs(opts.path)
+        self.open: dict = {}     # bucket -> [stream, size, tmp, final]
+        self.count: dict = {}    # bucket -> parts started
+        self.done: list = []
+
+    def _start(self, bucket: str):
+        n = self.count.get(bucket, 0)
+        self.count[bucket] = n + 1
+        name = f"{self.opts.prefix}-{self.job}-{self.task}-{n}{self.opts.suffix}"
+        folder = f"{self.root}/{bucket}"
+        self.fs.create_dir(folder, recursive=True)
+        tmp = f"{folder}/.{name}.{self.attempt}.inprogress"
+        self.open[bucket] = [self.fs.open_output_stream(tmp), 0, tmp, f"{folder}/{name}"]
+
+    def _roll(self, bucket: str):
+        stream, _, tmp, final = self.open.pop(bucket)
+        stream.close()
+        self.done.append((tmp, final))
+
+    def write_values(self, bucket: str, vals) -> None:
+        """Append a string array as lines, starting a new part where the next
+        line would pass ``max_bytes`` (a longer line gets a part of its own)."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        lens = np.asarray(pc.binary_length(vals)).astype(np.int64) + 1
+        start, n = 0, len(vals)
+        while start < n:
+            part = self.open.get(bucket)
+            if part is None:
+                self._start(bucket)
+                part = self.open[bucket]
+            fits = np.cumsum(lens[start:])
+            k = int(np.searchsorted(fits, self.opts.max_bytes - part[1], side="right"))
+            if k == 0:
+                if part[1] > 0:
+                    self._roll(bucket)
+                    continue
+                k = 1
+            chunk = vals.slice(start, k)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, k], pa.int32()), chunk), "\n")
+            part[0].write(joined[0].as_buffer())
+            part[0].write(b"\n")
+            part[1] += int(fits[k - 1])
+            start += k
+
+    def write_batches(self, batches) -> WrittenFiles:
+        import pyarrow.compute as pc
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            buckets = rb.column(rb.schema.get_field_index("bucket"))
+            values = pc.fill_null(rb.column(rb.schema.get_field_index("value")), "")
+            for b in pc.unique(buckets).to_pylist():
+                mask = pc.is_null(buckets) if b is None else pc.equal(buckets, b)
+                self.write_values(b or "__none__", pc.filter(values, mask))
+        for bucket in list(self.open):
+            self._roll(bucket)
+        return WrittenFiles(self.done)
+
+
+def _finish(opts: _Options, job: str, messages) -> None:
+    fs, root = _fs(opts.path)
+    for m in messages:
+        for tmp, final in (m.files if m else []):
+            fs.move(tmp, final)
+    _sweep(fs, root, opts, job)
+
+
+def _sweep(fs, root: str, opts: _Options, job: str) -> None:
+    """Remove in-progress files of this job left by failed task attempts."""
+    from pyarrow import fs as pafs
+    try:
+        infos = fs.get_file_info(pafs.FileSelector(root, recursive=True))
+    except FileNotFoundError:
+        return
+    mark = f".{opts.prefix}-{job}-"
+    for info in infos:
+        if info.type == pafs.FileType.File and info.base_name.startswith(mark) \
+                and info.base_name.endswith(".inprogress"):
+            fs.delete_file(info.path)
+
+
+class RollingTextWriter(DataSourceArrowWriter):
+    def __init__(self, options):
+        self.opts = _Options(options)
+        self.job = uuid.uuid4().hex[:12]
+
+    def write(self, iterator) -> WrittenFiles:
+        return _PartWriter(self.opts, self.job).write_batches(iterator)
+
+    def commit(self, messages) -> None:
+        _finish(self.opts, self.job, messages)
+
+    def abort(self, messages) -> None:
+        fs, root = _fs(self.opts.path)
+        _sweep(fs, root, self.opts, self.job)
+
+
+class RollingTextStreamWriter(DataSourceStreamArrowWriter):
+    """Per micro-batch: part names carry the batch id, so a replayed batch
+    rewrites the same final files."""
+
+    def __init__(self, options):
+        self.opts = _Options(options)
+
+    def write(self, iterator) -> WrittenFiles:
+        from pyspark import TaskContext
+        tc = TaskContext.get()
+        batch = tc.getLocalProperty("streaming.sql.batchId") if tc else None
+        return _PartWriter(self.opts, f"b{batch or 0}").write_batches(iterator)
+
+    def commit(self, messages, batchId) -> None:
+        _finish(self.opts, f"b{batchId}", messages)
+
+    def abort(self, messages, batchId) -> None:
+        fs, root = _fs(self.opts.path)
+        _sweep(fs, root, self.opts, f"b{batchId}")
+
+
+class RollingTextSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def schema(self):
+        return "value string, bucket string"
+
+    def writer(self, schema, overwrite) -> RollingTextWriter:
+        return RollingTextWriter(self.options)
+
+    def streamWriter(self, schema, overwrite) -> RollingTextStreamWriter:
+        return RollingTextStreamWriter(self.options)
+
+
+def register(spark) -> None:
+    spark.dataSource.register(RollingTextSource)

@@ -17,7 +17,9 @@ BUCKET_FORMAT = "yyyy-MM-dd--HH"
 BUCKET = "bucket"
 
 
-def _bucketed(df: DataFrame, value: str, bucket_time: str | None) -> DataFrame:
+def bucketed(df: DataFrame, value: str = "value", bucket_time: str | None = None) -> DataFrame:
+    """``value`` (as text) and its ``bucket`` (``yyyy-MM-dd--HH`` of ``bucket_time``,
+    or of the processing clock when None)."""
     t = F.current_timestamp() if bucket_time is None else F.col(bucket_time)
     return df.select(F.col(value).cast("string").alias("value"),
                      F.date_format(t, BUCKET_FORMAT).alias(BUCKET))
@@ -36,7 +38,7 @@ def write_rolling_text(df: DataFrame, path: str, value: str = "value",
     files per bucket, and a bucket holding much of the data still spreads
     over ``k`` tasks (the hash keeps a retried task's rows in place).
     """
-    out = _bucketed(df, value, bucket_time)
+    out = bucketed(df, value, bucket_time)
     if files_per_bucket:
         salt = F.pmod(F.xxhash64("value"), F.lit(files_per_bucket))
         out = out.repartition(F.col(BUCKET), salt)
@@ -49,7 +51,7 @@ def rolling_text_stream(df: DataFrame, path: str, checkpoint: str, value: str =
                         max_records_per_file: int = 0):
     """Streaming form: exactly-once file sink, one set of part files per
     trigger.  ``trigger=None`` processes the available input and stops."""
-    w = (_bucketed(df, value, bucket_time).writeStream.format("text")
+    w = (bucketed(df, value, bucket_time).writeStream.format("text")
          .option("checkpointLocation", checkpoint)
          .option("maxRecordsPerFile", max_records_per_file).partitionBy(BUCKET))
     w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
@@ -59,3 +61,38 @@ def rolling_text_stream(df: DataFrame, path: str, checkpoint: str, value: str =
 def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     """Read the lines back with their bucket (kept as a string)."""
     return spark.read.schema(f"value string, {BUCKET} string").text(path)
+
+
+def write_named_parts(df: DataFrame, path: str, value: str = "value", bucket_time: str | None = None,
+                      prefix: str = "test", suffix: str = ".txt",
+                      max_part_bytes: int = 1024 * 1024 * 1024, mode: str = "append") -> None:
+    """Like ``write_rolling_text`` but with the reference's layout: bucket
+    folders ``<path>/<yyyy-MM-dd--HH>/`` holding ``<prefix>-...<suffix>`` parts,
+    a new part every ``max_part_bytes`` (see ``rolling_datasource``)."""
+    from tidewater.sinks.rolling_datasource import FORMAT, register
+    register(df.sparkSession)
+    (bucketed(df, value, bucket_time).write.format(FORMAT).mode(mode)
+        .option("prefix", prefix).option("suffix", suffix)
+        .option("max_part_bytes", str(max_part_bytes)).save(path))
+
+
+def named_parts_stream(df: DataFrame, path: str, checkpoint: str, value: str = "value",
+                       bucket_time: str | None = None, prefix: str = "test", suffix: str = ".txt",
+                       max_part_bytes: int = 1024 * 1024 * 1024, trigger: str | None = "20 seconds"):
+    """Streaming form of ``write_named_parts``; parts of a micro-batch become
+    visible when the batch commits."""
+    from tidewater.sinks.rolling_datasource import FORMAT, register
+    register(df.sparkSession)
+    w = (bucketed(df, value, bucket_time).writeStream.format(FORMAT)
+         .option("checkpointLocation", checkpoint).option("path", path)
+         .option("prefix", prefix).option("suffix", suffix)
+         .option("max_part_bytes", str(max_part_bytes)))
+    w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
+    return w.start()
+
+
+def read_named_parts(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """Lines of committed parts with their bucket folder name."""
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
+            .text(path)
+            .select(F.element_at(F.split(F.input_file_name(), "/"), -2).alias(BUCKET), "value"))
