@@ -9,7 +9,7 @@ computed in two levels:
 1. Heavy keys are found with a partial aggregate (row count, min and max of
    the leading order column) and the heaviest ``max_hot_keys`` of those above
    ``chunk_rows`` rows are kept.  That table is bounded by ``max_hot_keys``
-   rows and is broadcast.
+   rows; it is checkpointed to the shared folder and broadcast.
 2. A heavy key's rows are cut into ``ceil(rows / chunk_rows)`` (at most
    ``max_chunks``) contiguous ranges of the leading order column; every other
    key is one chunk.  Windows run per ``(key, chunk)``, so no task holds more
@@ -31,6 +31,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tidewater.functions.rows import row_kind_rows
 from tidewater.functions.util import as_col
+from tidewater.session import shared_dir
 
 CHUNK_ROWS = 4_000_000
 MAX_HOT_KEYS = 10_000
@@ -70,11 +71,18 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
     hot = (df.groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("__rows"), F.min(lead).alias("__lo"), F.max(lead).alias("__hi"))
            .filter(F.col("__rows") > chunk_rows)
-           .orderBy(F.col("__rows").desc())
+           # a total order, so any recomputation picks the same keys
+           .orderBy(F.col("__rows").desc(), *[F.col(k).asc_nulls_first() for k in keys])
            .limit(max_hot_keys)   # bounds the broadcast; lighter keys stay exact, in one chunk
            .select(*keys, "__lo", "__hi",
                    F.least(F.ceil(F.col("__rows") / chunk_rows), F.lit(max_chunks)).alias("__chunks")))
 
+    # Materialize the (bounded) heavy-key table once in the shared checkpoint
+    # folder: both uses below then read the same rows, the aggregate runs once,
+    # and a lost executor cannot make the two uses disagree.
+    shared_dir(df.sparkSession)
+    hot = hot.checkpoint(eager=True)
+
     width = (F.col("__hi") - F.col("__lo") + 1) / F.col("__chunks")
     chunk = (F.when(F.col("__chunks").isNull(), F.lit(0))
              .otherwise(F.least(F.floor((lead - F.col("__lo")) / width),
