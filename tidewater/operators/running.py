@@ -9,14 +9,16 @@ computed in two levels:
 1. Heavy keys are found with a partial aggregate (row count, min and max of
    the leading order column) and the heaviest ``max_hot_keys`` of those above
    ``chunk_rows`` rows are kept.  That table is bounded by ``max_hot_keys``
-   rows; it is checkpointed to the shared folder and broadcast.
+   rows; it is fetched once and broadcast.
 2. A heavy key's rows are cut into ``ceil(rows / chunk_rows)`` (at most
    ``max_chunks``) contiguous ranges of the leading order column; every other
    key is one chunk.  Windows run per ``(key, chunk)``, so no task holds more
    than about ``chunk_rows`` rows of one key.
-3. Per-chunk totals of heavy keys (at most ``max_hot_keys * max_chunks``
-   rows) are prefix-summed and added back with an equi-join on
-   ``(key, chunk)``, which the window's hash partitioning already satisfies.
+3. Per-chunk totals of heavy keys (exactly the sum of their chunk counts,
+   known from step 1) are prefix-summed and added back with an equi-join on
+   ``(key, chunk)``: broadcast when that count is small, else a sort-merge
+   join whose big side reuses the window's hash partitioning.  With no
+   heavy key there is nothing to add back and the window is the whole plan.
 
 Results are exact: chunking changes only where rows are processed.
 """
@@ -31,11 +33,12 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tidewater.functions.rows import row_kind_rows
 from tidewater.functions.util import as_col
-from tidewater.session import shared_dir
 
 CHUNK_ROWS = 4_000_000
 MAX_HOT_KEYS = 10_000
 MAX_CHUNKS = 4_096
+# Largest chunk-offset table (rows, known exactly beforehand) that is broadcast.
+OFFSETS_BROADCAST_ROWS = 1_000_000
 
 
 def _numeric(df: DataFrame, name: str) -> Column:
@@ -77,20 +80,26 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
            .select(*keys, "__lo", "__hi",
                    F.least(F.ceil(F.col("__rows") / chunk_rows), F.lit(max_chunks)).alias("__chunks")))
 
-    # Materialize the (bounded) heavy-key table once in the shared checkpoint
-    # folder: both uses below then read the same rows, the aggregate runs once,
-    # and a lost executor cannot make the two uses disagree.
-    shared_dir(df.sparkSession)
-    hot = hot.checkpoint(eager=True)
+    # The heavy-key table is a top-k of at most ``max_hot_keys`` rows, which a
+    # broadcast sends through the driver anyway: fetch it once and embed it in
+    # the plan.  Both uses below then see the same rows, the aggregate runs
+    # once, and no executor loss can make the two uses disagree.
+    hot_rows = hot.collect()
+    hot = df.sparkSession.createDataFrame(hot_rows, hot.schema)
+    # exact size of the chunk-offset table: one row per chunk of a heavy key
+    n_offsets = sum(r["__chunks"] for r in hot_rows)
 
     width = (F.col("__hi") - F.col("__lo") + 1) / F.col("__chunks")
     chunk = (F.when(F.col("__chunks").isNull(), F.lit(0))
              .otherwise(F.least(F.floor((lead - F.col("__lo")) / width),
                                 F.col("__chunks") - 1)).cast("int"))
-    tagged = (df.join(F.broadcast(hot), keys, "left")
-              .withColumn("__chunk", chunk)
-              .withColumn("__hot", F.col("__chunks").isNotNull())
-              .drop("__lo", "__hi", "__chunks"))
+    if n_offsets == 0:  # no heavy key: one chunk per key, nothing to add back
+        tagged = df.withColumn("__chunk", F.lit(0))
+    else:
+        tagged = (df.join(F.broadcast(hot), keys, "left")
+                  .withColumn("__chunk", chunk)
+                  .withColumn("__hot", F.col("__chunks").isNotNull())
+                  .drop("__lo", "__hi", "__chunks"))
 
     part = keys + ["__chunk"]
     w = Window.partitionBy(*part).orderBy(*order)
@@ -104,6 +113,13 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
     if count_before is not None:
         local_cols.append(F.count(F.lit(1)).over(prior).alias("__p_n"))
     local = tagged.select("*", *local_cols)
+    if n_offsets == 0:
+        out = [F.col(f"__l_{n}").alias(n) for n in vals]
+        if before_suffix is not None:
+            out += [F.col(f"__p_{n}").alias(n + before_suffix) for n in vals]
+        if count_before is not None:
+            out.append(F.col("__p_n").alias(count_before))
+        return _finish(local, df, vals, before_suffix, count_before, out)
 
     totals = (tagged.filter(F.col("__hot"))
               .groupBy(*part)
@@ -115,6 +131,8 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
                             *[F.sum(f"__t_{n}").over(before_chunk).alias(f"__o_{n}") for n in vals],
                             F.sum("__t_n").over(before_chunk).alias("__o_n"))
 
+    if n_offsets <= OFFSETS_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     joined = local.join(offsets, part, "left")
     out = []
     for name in vals:
@@ -123,6 +141,10 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
             out.append(_add(F.col(f"__p_{name}"), F.col(f"__o_{name}")).alias(name + before_suffix))
     if count_before is not None:
         out.append((F.col("__p_n") + F.coalesce(F.col("__o_n"), F.lit(0))).alias(count_before))
+    return _finish(joined, df, vals, before_suffix, count_before, out)
+
+
+def _finish(joined: DataFrame, df: DataFrame, vals, before_suffix, count_before, out) -> DataFrame:
     names = set(vals) | ({n + before_suffix for n in vals} if before_suffix is not None else set())
     names |= {count_before} if count_before is not None else set()
     # an output may reuse an input's name (a sum written over its own column)
