@@ -102,7 +102,9 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
                   .drop("__lo", "__hi", "__chunks"))
 
     part = keys + ["__chunk"]
-    w = Window.partitionBy(*part).orderBy(*order)
+    # without heavy keys partition by the key alone, so later per-key steps
+    # (a groupBy, a join on the key) reuse this partitioning
+    w = Window.partitionBy(*(keys if n_offsets == 0 else part)).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
     local_cols = []
