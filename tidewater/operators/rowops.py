@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidewater.functions.util import as_col
 
 
 def with_one(df: DataFrame, out: str = "one") -> DataFrame:
