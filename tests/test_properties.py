@@ -74,3 +74,49 @@ def test_running_sum_matches_model(spark, pairs, chunk_rows, max_chunks):
         totals[k] = totals.get(k, 0) + v
         want.append((seq, k, totals[k]))
     assert sorted((r.seq, r.k, r.running) for r in got.collect()) == want
+
+
+def enrich_model(batches):
+    """Buffer-and-release enrichment fed batch by batch: within a batch a key's
+    new user is applied first (releasing its buffer again), then its scores."""
+    user, buffer, out = {}, {}, []
+    for users, scores in batches:
+        for uid, name in users:
+            user[uid] = name
+            out += [(uid, name, s, v) for s, v in buffer.get(uid, [])]
+        for uid, s, v in scores:
+            if uid in user:
+                out.append((uid, user[uid], s, v))
+            else:
+                buffer.setdefault(uid, []).append((s, v))
+    return sorted(out)
+
+
+batch_strategy = st.tuples(
+    st.dictionaries(st.integers(1, 3), st.sampled_from(["ann", "bo", "cy"]), max_size=3),
+    st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["x", "y"]), st.integers(0, 9)),
+             max_size=4))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(batch_strategy, min_size=1, max_size=3))
+def test_stream_enrich_matches_model(spark, batches):
+    import json
+    import os
+    import tempfile
+
+    from tidewater.streaming import drain, stream_enrich
+    base = tempfile.mkdtemp(prefix="tidewater-prop-")
+    os.makedirs(f"{base}/u")
+    os.makedirs(f"{base}/s")
+    plain = [(sorted(users.items()), scores) for users, scores in batches]
+    for i, (users, scores) in enumerate(plain):
+        with open(f"{base}/u/{i}.json", "w") as f:
+            f.writelines(json.dumps({"id": k, "name": n}) + "\n" for k, n in users)
+        with open(f"{base}/s/{i}.json", "w") as f:
+            f.writelines(json.dumps({"id": k, "subject": s, "score": v}) + "\n" for k, s, v in scores)
+        u = spark.readStream.schema("id int, name string").option("maxFilesPerTrigger", 1).json(f"{base}/u")
+        s = spark.readStream.schema("id int, subject string, score int").json(f"{base}/s")
+        res = drain(stream_enrich(s, u, "id", ["subject", "score"], ["name"], salts=2), "p", "append",
+                    path=f"{base}/out")
+    assert sorted(map(tuple, res.collect())) == enrich_model(plain)
