@@ -293,3 +293,17 @@ def test_stream_observed_count_and_routed_outputs(spark, tmp_dir):
     seen = sum(p["observedMetrics"][name]["elementCounter"] for p in q.recentProgress
                if name in p.get("observedMetrics", {}))
     assert seen == 10
+
+
+def test_enrich_stream_static_join(spark):
+    orders = table_stream(spark, SF, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("subject"),
+        F.col("o_totalprice").alias("score"))
+    customers = spark.read.parquet(f"{SF}/customer.parquet").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    streamed = drain(ops.enrich(orders, customers, "id").select("id", "name", "subject", "score"),
+                     "stream-static", "append")
+    batch = ops.enrich(spark.read.parquet(f"{SF}/orders.parquet").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("subject"),
+        F.col("o_totalprice").alias("score")), customers, "id").select("id", "name", "subject", "score")
+    assert same(streamed, batch)
