@@ -50,19 +50,19 @@ def test_g3_filter_sum_and_reduce(spark):
 
 
 def test_g4_union_keeps_duplicates(spark):
-    a = from_data(spark, ["hadoop", "spark", "flink"], "value string")
-    b = from_data(spark, ["hadoop", "spark", "flink"], "value string")
+    a = from_data(spark, ["hadoop", "spark", "flow"], "value string")
+    b = from_data(spark, ["hadoop", "spark", "flow"], "value string")
     got = sorted(r.value for r in ops.union_all(a, b).collect())
-    assert got == sorted(["hadoop", "spark", "flink"] * 2)
+    assert got == sorted(["hadoop", "spark", "flow"] * 2)
 
 
 def test_g5_connect_two_types(spark):
-    a = from_data(spark, ["hadoop", "spark", "flink"], "value string")
+    a = from_data(spark, ["hadoop", "spark", "flow"], "value string")
     b = from_data(spark, [1, 2, 3], "value bigint")
     out = ops.connect_map(a, b, prefixed_string("value", "String->String:"),
                           prefixed_string("value", "Long->String:"))
     got = sorted(r.value for r in out.collect())
-    assert got == sorted(["String->String:hadoop", "String->String:spark", "String->String:flink",
+    assert got == sorted(["String->String:hadoop", "String->String:spark", "String->String:flow",
                           "Long->String:1", "Long->String:2", "Long->String:3"])
 
 

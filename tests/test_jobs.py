@@ -20,7 +20,7 @@ def test_word_count_jobs(spark):
 
 
 def test_union_connect_parity(spark):
-    a = from_data(spark, ["hadoop", "spark", "flink"], "value string")
+    a = from_data(spark, ["hadoop", "spark", "flow"], "value string")
     n = from_data(spark, [1, 2, 3], "value bigint")
     u, c = jobs.union_and_connect(a, a, n)
     assert u.count() == 6 and c.count() == 6
@@ -54,19 +54,19 @@ def test_enrich_and_sql_jobs(spark):
 
 def test_generated_orders_into_database(spark, tmp_dir):
     url = default_url(f"g{uuid.uuid4().hex[:8]}")
-    q = jobs.generated_orders_to_jdbc(spark, url, "FLINK_ORDER", f"{tmp_dir}/ckpt",
-                                      rows_per_second=10, marker_table="FLINK_ORDER_BATCHES")
+    q = jobs.generated_orders_to_jdbc(spark, url, "T_ORDER", f"{tmp_dir}/ckpt",
+                                      rows_per_second=10, marker_table="ORDER_BATCHES")
     try:
         deadline, n = time.time() + 60, 0
         while time.time() < deadline and n < 10:
             time.sleep(1)
             try:
-                n = read_jdbc(spark, url, "FLINK_ORDER").count()
+                n = read_jdbc(spark, url, "T_ORDER").count()
             except Exception:
                 pass
     finally:
         q.stop()
-    rows = read_jdbc(spark, url, "FLINK_ORDER").collect()
+    rows = read_jdbc(spark, url, "T_ORDER").collect()
     assert len(rows) >= 10 and len({r.id for r in rows}) == len(rows)
     assert all(0 <= r.userId < 1000 and 0 <= r.money < 1000 and r.createTime.year >= 2024 for r in rows)
 
