@@ -10,7 +10,7 @@ from tidewater.functions.rows import parity_tag, prefixed_string
 from tidewater.plans import sql as tsql
 from tidewater.sources import from_data, generate_orders
 
-LINES = ["ylw hadoop spark", "ylw hadoop spark", "ylw hadoop", "ylw"]
+LINES = ["yes hadoop spark", "yes hadoop spark", "yes hadoop", "yes"]
 POEM = ("风急天高猿啸哀，渚清沙白鸟飞回。" "无边落木萧萧下，不尽长江滚滚来。"
         "万里悲秋常作客，百年多病独登台。" "艰难苦恨繁霜鬓，潦倒新停浊酒杯。")
 
@@ -22,14 +22,14 @@ def as_dict(df, k, v):
 def test_g1_word_count(spark):
     lines = from_data(spark, LINES, "value string")
     got = as_dict(ops.count_by(ops.tokenize_words(lines), "word", "cnt"), "word", "cnt")
-    assert got == {"ylw": 4, "hadoop": 3, "spark": 2}
+    assert got == {"yes": 4, "hadoop": 3, "spark": 2}
 
 
 def test_g1_word_count_sum_of_ones(spark):
     lines = from_data(spark, LINES, "value string")
     pairs = ops.with_one(ops.tokenize_words(lines))
     got = as_dict(ops.keyed_sum(pairs, "word", "one", "cnt"), "word", "cnt")
-    assert got == {"ylw": 4, "hadoop": 3, "spark": 2}
+    assert got == {"yes": 4, "hadoop": 3, "spark": 2}
 
 
 def test_g2_characters(spark):
@@ -41,7 +41,7 @@ def test_g2_characters(spark):
 
 
 def test_g3_filter_sum_and_reduce(spark):
-    words = ops.drop_value(ops.tokenize_words(from_data(spark, LINES, "value string")), "word", "ylw")
+    words = ops.drop_value(ops.tokenize_words(from_data(spark, LINES, "value string")), "word", "yes")
     pairs = ops.with_one(words)
     assert as_dict(ops.keyed_sum(pairs, "word", "one"), "word", "one") == {"hadoop": 3, "spark": 2}
     red = ops.keyed_reduce(pairs, "word", "one", lambda a, b: a + b)

@@ -9,13 +9,13 @@ from tidewater.plans import jobs
 from tidewater.sinks.jdbc import default_url, read_jdbc
 from tidewater.sources import from_data
 
-LINES = ["ylw hadoop spark", "ylw hadoop spark", "ylw hadoop", "ylw"]
+LINES = ["yes hadoop spark", "yes hadoop spark", "yes hadoop", "yes"]
 
 
 def test_word_count_jobs(spark):
     lines = from_data(spark, LINES, "value string")
-    assert {r.word: r.cnt for r in jobs.word_count(lines).collect()} == {"ylw": 4, "hadoop": 3, "spark": 2}
-    s, r = jobs.filtered_sum_and_reduce(lines, "ylw")
+    assert {r.word: r.cnt for r in jobs.word_count(lines).collect()} == {"yes": 4, "hadoop": 3, "spark": 2}
+    s, r = jobs.filtered_sum_and_reduce(lines, "yes")
     assert {x.word: x.cnt for x in s.collect()} == {x.word: x.cnt for x in r.collect()} == {"hadoop": 3, "spark": 2}
 
 
@@ -100,7 +100,7 @@ def test_running_word_count_to_store(spark, tmp_dir):
     store = {}
     for _, name, field, value in writes:
         store[field] = value
-    assert store == {"ylw": "4", "hadoop": "3", "spark": "2"}
+    assert store == {"yes": "4", "hadoop": "3", "spark": "2"}
 
 
 def test_window_word_count_fires(spark, tmp_dir):

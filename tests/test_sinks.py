@@ -23,10 +23,10 @@ def test_g9_insert_database_assigns_id(spark):
     url = default_url(f"t{uuid.uuid4().hex[:8]}")
     _create(spark, url, "CREATE TABLE T_STUDENT (ID INT GENERATED ALWAYS AS IDENTITY, "
                         "NAME VARCHAR(64), AGE INT)")
-    students = from_data(spark, [(None, "tonyma111", 18)], "id int, name string, age int")
+    students = from_data(spark, [(None, "student1", 18)], "id int, name string, age int")
     jdbc_insert(students.select(F.col("name").alias("NAME"), F.col("age").alias("AGE")), url, "T_STUDENT")
     rows = read_jdbc(spark, url, "T_STUDENT").collect()
-    assert len(rows) == 1 and rows[0].NAME == "tonyma111" and rows[0].AGE == 18 and rows[0].ID >= 1
+    assert len(rows) == 1 and rows[0].NAME == "student1" and rows[0].AGE == 18 and rows[0].ID >= 1
 
 
 def test_stream_writer_skips_replayed_batch(spark):

@@ -38,11 +38,11 @@ def test_text_file_stream_word_count_update_mode(spark, tmp_dir):
     src = os.path.join(tmp_dir, "lines")
     os.makedirs(src)
     with open(os.path.join(src, "a.txt"), "w") as f:
-        f.write("ylw hadoop spark\nylw hadoop spark\nylw hadoop\nylw\n")
+        f.write("yes hadoop spark\nyes hadoop spark\nyes hadoop\nyes\n")
     lines = text_lines(spark, "files", path=src)
     counts = ops.count_by(ops.tokenize_words(lines), "word", "cnt")
     got = {r.word: r.cnt for r in drain(counts, "wc-text", "update", keys="word").collect()}
-    assert got == {"ylw": 4, "hadoop": 3, "spark": 2}
+    assert got == {"yes": 4, "hadoop": 3, "spark": 2}
 
 
 def test_tumbling_parity_event_time(spark):
