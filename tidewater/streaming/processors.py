@@ -15,7 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import (BooleanType, ByteType, DoubleType, FloatType, IntegerType, LongType,
+                               ShortType, StringType, StructField, StructType)
 
 from tidewater.functions.rows import INSERT, UPDATE_AFTER, UPDATE_BEFORE
 
@@ -34,6 +35,32 @@ def _py(v):
     return v.item() if hasattr(v, "item") else v
 
 
+def _coerce(v, dtype):
+    """A pandas value as the Python value of Spark type ``dtype``.
+
+    A nullable integer column reaches pandas as float64 whenever its Arrow
+    batch holds a null, so integers must be converted back before they are
+    written to state (a float in an integer state field would be lost)."""
+    v = _py(v)
+    if v is None:
+        return None
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return int(v)
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return float(v)
+    if isinstance(dtype, BooleanType):
+        return bool(v)
+    if isinstance(dtype, StringType):
+        return str(v)
+    return v
+
+
+def _tuples(pdf: pd.DataFrame, schema: StructType) -> list[tuple]:
+    cols = [pdf[f.name].tolist() for f in schema.fields]
+    types = [f.dataType for f in schema.fields]
+    return [tuple(_coerce(v, t) for v, t in zip(row, types)) for row in zip(*cols)]
+
+
 def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
     return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
@@ -79,8 +106,7 @@ class EnrichProcessor(StatefulProcessor):
             if self.order:
                 dims = dims.sort_values(self.order, kind="stable")
             waiting = list(self.buffer.get()) if self.buffer.exists() else []
-            for d in dims[self.dim_cols].itertuples(index=False):
-                dim = tuple(_py(v) for v in d)
+            for dim in _tuples(dims, self.dim_schema):
                 if waiting:
                     yield self._out(k, dim, waiting)
             self.value.update(dim)  # last write wins
@@ -98,8 +124,7 @@ class EnrichProcessor(StatefulProcessor):
                 out.insert(1 + i, c, dim[i])
             yield out[[self.key, *self.dim_cols, *self.rec_cols]]
         else:
-            self.buffer.appendList(
-                [tuple(_py(v) for v in r) for r in recs[self.rec_cols].itertuples(index=False)])
+            self.buffer.appendList(_tuples(recs, self.rec_schema))
 
     def close(self) -> None:
         pass
@@ -175,8 +200,9 @@ class RunningReduceProcessor(StatefulProcessor):
         acc = state[0] if state is not None else None
         out = []
         for v in pdf[self.value_col].tolist():
-            v = _py(v)
-            acc = v if acc is None else self.fn(acc, v)
+            v = _coerce(v, self.value_type)
+            if v is not None:
+                acc = v if acc is None else _coerce(self.fn(acc, v), self.value_type)
             out.append(acc)
         self.acc.update((acc,))
         yield pd.DataFrame({self.order: pdf[self.order].to_numpy(), self.key: _py(key[0]),
