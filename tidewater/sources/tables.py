@@ -17,13 +17,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+# Schema per table path, inferred from the parquet footers once per process.
+_SCHEMAS: dict[str, StructType] = {}
 
 
-def table_schema(spark: SparkSession, sf_dir: str, name: str) -> StructType:
-    return spark.read.parquet(table_path(sf_dir, name)).schema
+def table_schema(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> StructType:
+    path = table_path(sf_dir, name)
+    if refresh or path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return _SCHEMAS[path]
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The table with a declared schema (no footer inference on every read),
+    projected to ``columns`` so only those are scanned."""
+    df = spark.read.schema(table_schema(spark, sf_dir, name)).parquet(table_path(sf_dir, name))
+    return df.select(*columns) if columns else df
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
