@@ -151,3 +151,9 @@ def test_keyed_reduce_python_matches_builtin(spark):
     assert a == b
     c = as_dict(ops.keyed_reduce(ev, "event_type", "user_id", max, flush_keys=2), "event_type", "user_id")
     assert c == as_dict(ops.keyed_reduce(ev, "event_type", "user_id", "max"), "event_type", "user_id")
+
+
+def test_broadcast_byte_bound(spark):
+    users = from_data(spark, [(i, "x" * 100) for i in range(10)], "id int, name string")
+    assert ops.fits_broadcast(users, 10, 10 * 104)
+    assert not ops.fits_broadcast(users, 10, 10 * 104 - 1)

@@ -1,40 +1,66 @@
 """J1 (batch): enrich records from a dimension keyed by id; J2: latest per key.
 
-The dimension is broadcast only after a row-count check proves it small;
-above the bound the join is a shuffle join, where adaptive execution splits
-a skewed key's partitions.
+The dimension is broadcast only after a row count and then a byte count
+prove it small; above the bound the join is a shuffle join, where adaptive
+execution splits a skewed key's partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest dimension (rows) that is broadcast; the projected columns decide bytes.
+# Largest dimension that is broadcast: rows, then bytes of the projected columns.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+    T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+    T.DecimalType: 16,
+}
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
 
-    A row count of a table scan is answered from parquet footers, and the
-    partial counts (one row per task) are all that is shuffled, so the check
-    stays cheap however large the input is.
+def _width(field: T.StructField):
+    c = F.col(f"`{field.name}`")
+    for t, n in _FIXED_WIDTH.items():
+        if isinstance(field.dataType, t):
+            return F.lit(n)
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))  # nested: text size
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and its columns hold at
+    most ``max_bytes`` bytes.
+
+    The row count of a table scan is answered from parquet footers (only
+    per-task counts are shuffled), so a large dimension is turned down
+    without reading it; only a dimension within the row bound has its bytes
+    summed.
     """
     if df.isStreaming:
         return False
-    return df.count() <= max_rows
+    if df.count() > max_rows:
+        return False
+    size = df.select(sum((_width(f) for f in df.schema.fields), F.lit(0)).alias("w")) \
+        .agg(F.sum("w")).first()[0] or 0
+    return size <= max_bytes
 
 
 def enrich(records: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "inner",
-           broadcast: bool | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast: bool | None = None, max_rows: int = BROADCAST_MAX_ROWS,
+           max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join ``records`` with ``dimension`` on ``on``.
 
     ``broadcast=None`` decides by the size check; ``True`` forces the hint,
     ``False`` never hints (Spark and adaptive execution still choose).
     """
     if broadcast is None:
-        broadcast = fits_broadcast(dimension, max_rows)
+        broadcast = fits_broadcast(dimension, max_rows, max_bytes)
     dim = F.broadcast(dimension) if broadcast else dimension
     return records.join(dim, on, how)
 
