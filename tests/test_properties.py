@@ -143,3 +143,30 @@ def test_stream_changelog_matches_model(spark, pairs, cuts):
         res = drain(stream_changelog(df, "k", "seq", "v", out="s"), "cl", "append", path=f"{base}/out")
     got = sorted((r.seq, r.pos, r.op, r.k, r.s) for r in res.collect())
     assert got == changelog_model(rows)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows_strategy, st.lists(st.integers(1, 20), min_size=0, max_size=2),
+       st.integers(min_value=2, max_value=6))
+def test_split_stream_changelog_matches_model(spark, pairs, cuts, chunk_rows):
+    import json
+    import os
+    import tempfile
+
+    from tidewater.streaming.batched_state import stream_running_batches
+    rows = [(i, k, v) for i, (k, v) in enumerate(pairs)]
+    bounds = sorted({c for c in cuts if c < len(rows)}) + [len(rows)]
+    base = tempfile.mkdtemp(prefix="tidewater-prop-")
+    os.makedirs(f"{base}/in")
+    start = 0
+    for b, end in enumerate(bounds):
+        with open(f"{base}/in/{b}.json", "w") as f:
+            f.writelines(json.dumps({"seq": s, "k": k, "v": v}) + "\n" for s, k, v in rows[start:end])
+        start = end
+        df = spark.readStream.schema("seq bigint, k string, v bigint").json(f"{base}/in")
+        q = stream_running_batches(df, "k", "seq", "v", "s", f"{base}/out", f"{base}/ckpt",
+                                   trigger={"availableNow": True}, chunk_rows=chunk_rows)
+        q.awaitTermination()
+    res = spark.read.parquet(f"{base}/out/data")
+    got = sorted((r.seq, r.pos, r.op, r.k, r.s) for r in res.collect())
+    assert got == changelog_model(rows)

@@ -18,6 +18,7 @@ from tidewater.plans.queries import LONG_PREFIX, STRING_PREFIX, WINDOW_SIZE
 from tidewater.session import scratch_path
 from tidewater.sinks.rolling_file import read_buckets, rolling_text_stream
 from tidewater.sources import decode_value, generate_orders, table_stream
+from tidewater.streaming.batched_state import stream_running_batches
 from tidewater.streaming.drain import drain
 from tidewater.streaming.sinks import observed_batches, route_stream
 from tidewater.streaming.stateful import (stream_changelog, stream_enrich, stream_keyed_reduce,
@@ -153,6 +154,24 @@ def stream_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_buckets(spark, f"{base}/data").select("bucket", "value")
 
 
+def _split_form(spark, sf_dir, name, emit, out):
+    base = scratch_path(spark, f"stream-{name}")
+    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
+    q = stream_running_batches(ev, "event_type", "event_id", "user_id", out, base,
+                               f"{base}/checkpoint", emit=emit, trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/data").drop("batch")
+
+
+def stream_changelog_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changelog per micro-batch with heavy keys split across tasks."""
+    return _split_form(spark, sf_dir, "changelog-split", "changelog", "s")
+
+
+def stream_running_sum_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_form(spark, sf_dir, "running-split", "running", "running")
+
+
 STREAM_QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
@@ -170,6 +189,8 @@ STREAM_QUERIES = {
     "stream_side_output": stream_side_output,
     "stream_observed_count": stream_observed_count,
     "stream_file_sink": stream_file_sink,
+    "stream_changelog_split": stream_changelog_split,
+    "stream_running_sum_split": stream_running_sum_split,
 }
 
 STREAM_ORACLES = {
@@ -189,4 +210,6 @@ STREAM_ORACLES = {
     "stream_side_output": ORACLES["side_output"],
     "stream_observed_count": ORACLES["observed_count"],
     "stream_file_sink": ORACLES["file_sink_roundtrip"],
+    "stream_changelog_split": ORACLES["changelog_sum"],
+    "stream_running_sum_split": ORACLES["running_sum"],
 }
