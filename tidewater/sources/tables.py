@@ -43,16 +43,25 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     filters on the file name; a table stored as a directory of part files
     is watched directly.
     """
-    import os
     path = table_path(sf_dir, name)
     reader = spark.readStream.schema(table_schema(spark, sf_dir, name))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if os.path.isdir(path):
+    if _is_dir(path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def _is_dir(path: str) -> bool:
+    """Directory test on any filesystem pyarrow reaches (local, HDFS, S3, ...)."""
+    from pyarrow import fs
+    try:
+        filesystem, inner = fs.FileSystem.from_uri(path)
+        return filesystem.get_file_info(inner).type == fs.FileType.Directory
+    except Exception:  # unknown scheme: treat as a single file
+        return False
+
+
 def spread_input(df: DataFrame, slots: int | None = None) -> DataFrame:
     """Round-robin the rows over all task slots when the scan has fewer splits
     than slots (e.g. a file stored as one large row group), so CPU-heavy
