@@ -326,3 +326,11 @@ def test_enrich_buffer_keeps_integer_values(spark, tmp_dir):
                     path=f"{tmp_dir}/out")
     got = sorted(map(tuple, res.collect()))
     assert got == sorted([(1, "ann", "x", 0)] * 2 + [(3, "ann", "x", 0)] * 5)
+
+
+def test_table_stream_over_a_directory_table(spark, tmp_dir):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev.repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
+    streamed = drain(table_stream(spark, tmp_dir, "events", max_files_per_trigger=1)
+                     .select("event_id", "event_type"), "dir-table", "append")
+    assert same(streamed, ev.select("event_id", "event_type"))
