@@ -157,3 +157,10 @@ def test_broadcast_byte_bound(spark):
     users = from_data(spark, [(i, "x" * 100) for i in range(10)], "id int, name string")
     assert ops.fits_broadcast(users, 10, 10 * 104)
     assert not ops.fits_broadcast(users, 10, 10 * 104 - 1)
+
+
+def test_keyed_reduce_python_exact_with_nulls(spark):
+    big = 2 ** 60
+    df = from_data(spark, [("a", big), ("a", None), ("a", 3), ("b", None), ("b", 1)], "k string, v bigint")
+    got = {r.k: r.v for r in ops.keyed_reduce(df.repartition(1), "k", "v", lambda x, y: x + y).collect()}
+    assert got == {"a": big + 3, "b": 1}
