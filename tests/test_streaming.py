@@ -334,3 +334,13 @@ def test_table_stream_over_a_directory_table(spark, tmp_dir):
     streamed = drain(table_stream(spark, tmp_dir, "events", max_files_per_trigger=1)
                      .select("event_id", "event_type"), "dir-table", "append")
     assert same(streamed, ev.select("event_id", "event_type"))
+
+
+def test_stream_running_sum_of_doubles(spark):
+    from tidewater.streaming import stream_running_sum
+    ev = table_stream(spark, SF, "events").select("event_id", "event_type", "value")
+    streamed = drain(stream_running_sum(ev, "event_type", "event_id", "value"), "dbl", "append")
+    batch = ops.running_sum(spark.read.parquet(f"{SF}/events.parquet"), "event_type", "event_id", "value")
+    got = {r.event_id: r.running for r in streamed.collect()}
+    want = {r.event_id: r.running for r in batch.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 * max(1, abs(want[k])) for k in got)

@@ -139,11 +139,16 @@ class RunningSumProcessor(StatefulProcessor):
     nothing.  Records of a key must arrive in ``order`` across batches.
     """
 
-    def __init__(self, key: str, order: str, value: str, out: str = "s", emit: str = "changelog"):
+    def __init__(self, key: str, order: str, value: str, out: str = "s", emit: str = "changelog",
+                 integral: bool = True):
         self.key, self.order, self.value_col, self.out, self.emit = key, order, value, out, emit
+        # integer values add up as int64 (bigint), others as float64 (double)
+        self.integral = integral
+        self.np_type = np.int64 if integral else np.float64
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", StructType([StructField("t", LongType())]))
+        t = LongType() if self.integral else DoubleType()
+        self.total = handle.getValueState("total", StructType([StructField("t", t)]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         k = _py(key[0])
@@ -153,10 +158,10 @@ class RunningSumProcessor(StatefulProcessor):
         pdf = pdf.sort_values(self.order, kind="stable")
         seen = self.total.exists()
         start = self.total.get()[0] if seen else 0
-        vals = pdf[self.value_col].fillna(0).to_numpy(dtype=np.int64)
-        after = start + np.cumsum(vals)
-        before = np.concatenate(([start], after[:-1]))
-        self.total.update((int(after[-1]),))
+        vals = pdf[self.value_col].fillna(0).to_numpy(dtype=self.np_type)
+        after = self.np_type(start) + np.cumsum(vals)
+        before = np.concatenate(([self.np_type(start)], after[:-1]))
+        self.total.update((after[-1].item(),))
         seqs = pdf[self.order].to_numpy()
         if self.emit == "running":
             yield pd.DataFrame({self.order: seqs, self.key: k, self.out: after})

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import (ByteType, DoubleType, IntegerType, LongType, ShortType, StringType,
+                               StructField, StructType, TimestampType)
 
 from tidewater.session import ROCKSDB_PROVIDER
 from tidewater.streaming.processors import (DIMENSION, RECORD, SIDE, EnrichProcessor,
@@ -70,13 +70,15 @@ def stream_enrich(records: DataFrame, dimension: DataFrame, key: str, record_col
 
 def _running(df: DataFrame, key: str, order: str, value: str, out: str, emit: str) -> DataFrame:
     _ensure_rocksdb(df)
+    integral = isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType, LongType))
+    total = LongType() if integral else DoubleType()
     if emit == "running":
-        schema = StructType([df.schema[order], df.schema[key], StructField(out, LongType())])
+        schema = StructType([df.schema[order], df.schema[key], StructField(out, total)])
     else:
         schema = StructType([df.schema[order], StructField("pos", IntegerType()),
                              StructField("op", StringType()), df.schema[key],
-                             StructField(out, LongType())])
-    proc = RunningSumProcessor(key, order, value, out, emit)
+                             StructField(out, total)])
+    proc = RunningSumProcessor(key, order, value, out, emit, integral)
     return (df.select(key, order, value).groupBy(key)
             .transformWithStateInPandas(proc, schema, "Append", "None"))
 
