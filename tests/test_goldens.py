@@ -164,3 +164,10 @@ def test_keyed_reduce_python_exact_with_nulls(spark):
     df = from_data(spark, [("a", big), ("a", None), ("a", 3), ("b", None), ("b", 1)], "k string, v bigint")
     got = {r.k: r.v for r in ops.keyed_reduce(df.repartition(1), "k", "v", lambda x, y: x + y).collect()}
     assert got == {"a": big + 3, "b": 1}
+
+
+def test_keyed_reduce_named_per_column(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    got = ops.keyed_reduce(ev, "event_type", None, {"user_id": "sum", "event_id": "max"})
+    want = ev.groupBy("event_type").agg(F.sum("user_id").alias("user_id"), F.max("event_id").alias("event_id"))
+    assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == want.count()
