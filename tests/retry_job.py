@@ -1,0 +1,63 @@
+"""Run in its own process with task retries enabled (``local[4,4]``): one task
+fails on its first attempt; outputs must be whole and counted once."""
+
+import json
+import os
+import sys
+import tempfile
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidewater import operators as ops  # noqa: E402
+from tidewater.session import get_session  # noqa: E402
+from tidewater.sinks.rolling_file import read_named_parts, write_named_parts  # noqa: E402
+
+
+def flaky(df, marks):
+    """Identity, except that partition 1 fails on its first attempt after
+    emitting part of its rows (leaving a file in ``marks``)."""
+    def run(batches):
+        import uuid
+        from pyspark import TaskContext
+        tc = TaskContext.get()
+        for i, b in enumerate(batches):
+            yield b
+            if tc.partitionId() == 1 and tc.attemptNumber() == 0:
+                open(os.path.join(marks, uuid.uuid4().hex), "w").close()
+                raise RuntimeError("injected task failure")
+    return df.mapInPandas(run, df.schema)
+
+
+def main():
+    out = sys.argv[1]
+    marks = os.path.join(out, "failures")
+    os.makedirs(marks)
+    spark = get_session("local[4,4]", app_name="tidewater-retry", shuffle_partitions=4,
+                        **{"spark.ui.showConsoleProgress": "false",
+                           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidewater-retry-")})
+    spark.sparkContext.setLogLevel("OFF")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(4)
+    lines = flaky(ev.select(F.col("event_id").cast("string").alias("value"), "ts"), marks)
+
+    counted, obs = ops.observed_count(lines, "n")
+    write_named_parts(counted, f"{out}/parts", bucket_time="ts", max_part_bytes=512)
+    back = read_named_parts(spark, f"{out}/parts")
+    hidden = [f for _, _, fs in os.walk(f"{out}/parts") for f in fs if f.startswith(".")]
+
+    red = ops.keyed_reduce(flaky(ev.select("event_type", "user_id"), marks), "event_type", "user_id",
+                           lambda a, b: a + b)
+    want = ev.groupBy("event_type").agg(F.sum("user_id").alias("user_id"))
+    print(json.dumps({
+        "observed": obs.get["n"], "rows": back.count(),
+        "distinct": back.select("value").distinct().count(), "hidden": len(hidden),
+        "reduce_ok": red.exceptAll(want.select(red.columns)).count() == 0 and red.count() == 5,
+        "failed_attempts": len(os.listdir(marks)),
+    }))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
