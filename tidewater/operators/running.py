@@ -90,7 +90,8 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
     n_offsets = sum(r["__chunks"] for r in hot_rows)
 
     width = (F.col("__hi") - F.col("__lo") + 1) / F.col("__chunks")
-    chunk = (F.when(F.col("__chunks").isNull(), F.lit(0))
+    # a null order value sorts first, so it belongs to the first chunk
+    chunk = (F.when(F.col("__chunks").isNull() | lead.isNull(), F.lit(0))
              .otherwise(F.least(F.floor((lead - F.col("__lo")) / width),
                                 F.col("__chunks") - 1)).cast("int"))
     if n_offsets == 0:  # no heavy key: one chunk per key, nothing to add back
