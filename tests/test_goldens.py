@@ -171,3 +171,10 @@ def test_keyed_reduce_named_per_column(spark):
     got = ops.keyed_reduce(ev, "event_type", None, {"user_id": "sum", "event_id": "max"})
     want = ev.groupBy("event_type").agg(F.sum("user_id").alias("user_id"), F.max("event_id").alias("event_id"))
     assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == want.count()
+
+
+def test_enrich_latest_dimension_version_wins(spark):
+    users = from_data(spark, [(1, "old", 0), (1, "new", 1), (2, "b", 0)], "id int, name string, v int")
+    scores = from_data(spark, [(1, "x", 5), (2, "y", 6)], "id int, subject string, score int")
+    out = ops.enrich(scores, users, "id", latest_by="v").select("id", "name", "subject", "score")
+    assert sorted(map(tuple, out.collect())) == [(1, "new", "x", 5), (2, "b", "y", 6)]

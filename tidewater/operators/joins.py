@@ -53,12 +53,18 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 def enrich(records: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "inner",
            broadcast: bool | None = None, max_rows: int = BROADCAST_MAX_ROWS,
-           max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+           max_bytes: int = BROADCAST_MAX_BYTES, latest_by: str | None = None) -> DataFrame:
     """Join ``records`` with ``dimension`` on ``on``.
 
     ``broadcast=None`` decides by the size check; ``True`` forces the hint,
     ``False`` never hints (Spark and adaptive execution still choose).
+    ``latest_by`` keeps only the last dimension row per key by that column
+    (a keyed map where later writes win) instead of joining every version.
     """
+    if latest_by is not None:
+        keys = [on] if isinstance(on, str) else list(on)
+        values = [c for c in dimension.columns if c not in keys and c != latest_by]
+        dimension = latest_by_key(dimension, keys, latest_by, *values)
     if broadcast is None:
         broadcast = fits_broadcast(dimension, max_rows, max_bytes)
     dim = F.broadcast(dimension) if broadcast else dimension
