@@ -63,6 +63,8 @@ def _tuples(pdf: pd.DataFrame, schema: StructType) -> list[tuple]:
 
 def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
+    if len(frames) == 1:
+        return frames[0]
     return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
 
@@ -101,28 +103,33 @@ class EnrichProcessor(StatefulProcessor):
         if pdf.empty:
             return
         dim = None
-        dims = pdf[pdf[SIDE] == DIMENSION]
-        if not dims.empty:
+        side = pdf[SIDE].to_numpy()
+        is_dim = side == DIMENSION
+        n_dims = int(is_dim.sum())
+        dims = pdf[is_dim] if 0 < n_dims < len(pdf) else (pdf if n_dims else None)
+        if dims is not None:
             if self.order:
                 dims = dims.sort_values(self.order, kind="stable")
-            waiting = list(self.buffer.get()) if self.buffer.exists() else []
+            waiting = list(self.buffer.get())  # an absent list yields nothing: one round trip
             for dim in _tuples(dims, self.dim_schema):
                 if waiting:
                     yield self._out(k, dim, waiting)
             self.value.update(dim)  # last write wins
             if waiting and self.clear_buffer:
                 self.buffer.clear()
-        recs = pdf[pdf[SIDE] == RECORD]
-        if recs.empty:
+        if n_dims == len(pdf):
             return
+        recs = pdf[~is_dim] if n_dims else pdf
         if dim is None:
             dim = self.value.get()
         if dim is not None:
-            out = recs[self.rec_cols].copy()
-            out.insert(0, self.key, k)
+            n = len(recs)
+            data = {self.key: np.full(n, k, dtype=object) if isinstance(k, str) else np.full(n, k)}
             for i, c in enumerate(self.dim_cols):
-                out.insert(1 + i, c, dim[i])
-            yield out[[self.key, *self.dim_cols, *self.rec_cols]]
+                data[c] = [dim[i]] * n
+            for c in self.rec_cols:
+                data[c] = recs[c].to_numpy()
+            yield pd.DataFrame(data)
         else:
             self.buffer.appendList(_tuples(recs, self.rec_schema))
 
