@@ -48,9 +48,12 @@ def get_session(master: str | None = None, app_name: str = "tidewater",
 def apply_defaults(spark: SparkSession) -> None:
     """Set the library defaults on an existing session for every key the
     cluster's configuration does not set itself."""
-    cluster = spark.sparkContext.getConf()
+    try:
+        cluster = spark.sparkContext.getConf()
+    except Exception:  # a remote session: only runtime settings are visible
+        cluster = None
     for k, v in DEFAULTS.items():
-        if cluster.contains(k):
+        if cluster is not None and cluster.contains(k):
             continue
         if k == "spark.sql.streaming.stateStore.providerClass":
             # list/map state needs RocksDB; replace only Spark's built-in default
@@ -70,7 +73,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the session names none (tests, local runs) is a local folder
     created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no SparkContext: the conf must name the folder
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return base.rstrip("/")
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = sc.getCheckpointDir()

@@ -72,7 +72,9 @@ def spread_input(df: DataFrame, slots: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    slots = slots or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = slots or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext (a remote session): leave the plan as is
         return df
-    return df.repartition(slots)
+    return df if splits >= slots else df.repartition(slots)
