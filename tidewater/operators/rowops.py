@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 
 
@@ -83,27 +83,15 @@ def map_partitions_with_setup(df: DataFrame, setup: Callable[[], object],
 def with_local_count(df: DataFrame, out: str = "local_count", instance: str = "instance") -> DataFrame:
     """Per-instance running count: each parallel task counts only its own rows.
 
-    Adds ``instance`` (the task's partition) and ``out`` (1, 2, ... within it).
+    Adds ``instance`` (the task's partition) and ``out`` (1, 2, ... within it),
+    from built-ins that stay in generated code: ``monotonically_increasing_id``
+    keeps the record number within the partition in its lower 33 bits.
     Counts of this kind are per instance by design; for a job-wide count use
     ``observed_count``.
     """
-    schema = StructType(df.schema.fields + [StructField(instance, LongType()),
-                                            StructField(out, LongType())])
-
-    def setup():
-        from pyspark import TaskContext
-        tc = TaskContext.get()
-        return {"instance": tc.partitionId() if tc else 0, "count": 0}
-
-    def step(ctx, b: pd.DataFrame) -> pd.DataFrame:
-        n = len(b)
-        b = b.copy()
-        b[instance] = ctx["instance"]
-        b[out] = range(ctx["count"] + 1, ctx["count"] + n + 1)
-        ctx["count"] += n
-        return b
-
-    return map_partitions_with_setup(df, setup, step, schema)
+    record = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return df.select("*", F.spark_partition_id().cast("bigint").alias(instance),
+                     (record + 1).alias(out))
 
 
 def fan_out(df: DataFrame, *consumers: Callable[[DataFrame], None]) -> None:
