@@ -178,3 +178,27 @@ def test_enrich_latest_dimension_version_wins(spark):
     scores = from_data(spark, [(1, "x", 5), (2, "y", 6)], "id int, subject string, score int")
     out = ops.enrich(scores, users, "id", latest_by="v").select("id", "name", "subject", "score")
     assert sorted(map(tuple, out.collect())) == [(1, "new", "x", 5), (2, "b", "y", 6)]
+
+
+def test_rich_map_setup_runs_once_per_task(spark):
+    import pandas as pd
+
+    def setup():
+        from pyspark import TaskContext
+        return {"task": TaskContext.get().partitionId(), "seen": 0}
+
+    def step(ctx, b: pd.DataFrame) -> pd.DataFrame:
+        ctx["seen"] += len(b)
+        return pd.DataFrame({"value": b["value"], "task": ctx["task"], "seen": ctx["seen"]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = from_data(spark, list(range(20)), "value int").repartition(2)
+        out = ops.map_partitions_with_setup(df, setup, step, "value int, task int, seen long").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.value for r in out) == list(range(20))
+    per_task = {}
+    for r in out:
+        per_task[r.task] = max(per_task.get(r.task, 0), r.seen)
+    assert sum(per_task.values()) == 20 and len(per_task) == 2  # state carried across batches
