@@ -1,6 +1,5 @@
-"""The driver contract: entry(), and every batch query against its DuckDB
-oracle on the smallest tables (the streaming ones run in test_streaming and
-in tools/check_oracles.py)."""
+"""The driver contract: entry(), and every registered query (batch and
+streaming) against its DuckDB oracle on the smallest tables."""
 
 import math
 
@@ -11,7 +10,7 @@ import __spark_entry__ as entry
 from tidewater.sources.tables import TABLES, table_path
 
 SF = "/root/testdata/sf0.001"
-BATCH = sorted(k for k in entry.queries() if not k.startswith("stream_"))
+ALL = sorted(entry.queries())
 
 
 def test_entry_runs(spark):
@@ -37,7 +36,7 @@ def _norm(v):
     return v.isoformat() if hasattr(v, "isoformat") else v
 
 
-@pytest.mark.parametrize("name", BATCH)
+@pytest.mark.parametrize("name", ALL)
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF)
     cols = sorted(sdf.columns)
