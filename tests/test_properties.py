@@ -170,3 +170,24 @@ def test_split_stream_changelog_matches_model(spark, pairs, cuts, chunk_rows):
     res = spark.read.parquet(f"{base}/out/data")
     got = sorted((r.seq, r.pos, r.op, r.k, r.s) for r in res.collect())
     assert got == changelog_model(rows)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 60_000), st.sampled_from(["a", "b", "c"])), min_size=1,
+                max_size=40),
+       st.sampled_from([1, 5, 7, 60, 3600]))
+def test_tumbling_windows_match_model(spark, events, size_s):
+    import datetime
+
+    unix = datetime.datetime(1970, 1, 1)
+    base = datetime.datetime(2024, 1, 1)
+    rows = [(base + datetime.timedelta(milliseconds=ms), k) for ms, k in events]
+    df = from_data(spark, rows, "ts timestamp_ntz, k string")
+    got = sorted((r.window_start, r.k, r.cnt)
+                 for r in ops.tumbling_aggregate(df, "ts", f"{size_s} seconds", "k").collect())
+    want = {}
+    for ts, k in rows:  # windows are aligned to the Unix epoch
+        secs = int((ts - unix).total_seconds() // 1)
+        start = unix + datetime.timedelta(seconds=secs - secs % size_s)
+        want[(start, k)] = want.get((start, k), 0) + 1
+    assert got == sorted((s, k, n) for (s, k), n in want.items())
