@@ -95,4 +95,4 @@ def read_named_parts(spark: SparkSession, path: str, suffix: str = ".txt") -> Da
     """Lines of committed parts with their bucket folder name."""
     return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
             .text(path)
-            .select(F.element_at(F.split(F.input_file_name(), "/"), -2).alias(BUCKET), "value"))
+            .select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias(BUCKET), "value"))
