@@ -45,9 +45,45 @@ def get_session(master: str | None = None, app_name: str = "tidewater",
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewater`` importable by the Python workers.
+
+    Stateful processors and the named-part writer are pickled by reference,
+    so workers import this package.  When it is not installed on the nodes
+    (a source checkout), it is zipped once per application and shipped with
+    ``addPyFile``, Spark's ``--py-files`` mechanism.
+    """
+    import os
+    import zipfile
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session: the package must be installed there
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    if os.path.basename(os.path.dirname(pkg)) in ("site-packages", "dist-packages"):
+        _SHIPPED.add(sc.applicationId)
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="tidewater-pyfiles-"), "tidewater.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def apply_defaults(spark: SparkSession) -> None:
     """Set the library defaults on an existing session for every key the
-    cluster's configuration does not set itself."""
+    cluster's configuration does not set itself, and ship the package to the
+    Python workers."""
+    ship_package(spark)
     try:
         cluster = spark.sparkContext.getConf()
     except Exception:  # a remote session: only runtime settings are visible

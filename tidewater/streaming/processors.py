@@ -266,3 +266,18 @@ class ProcessingTimeWindowProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def _pickle_by_value() -> None:
+    """Ship these processors by value: the Python runner that initializes a
+    stateful query on the driver side does not see ``addPyFile`` includes, so
+    it must not need to import this package."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle: rely on the package being importable
+        pass
+
+
+_pickle_by_value()
