@@ -49,8 +49,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_rows:
              .groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("y")))
     known = cut(known, "labels")
     share = min(1.0, train_rows / max(1, known.count()))
-    place = F.xxhash64(F.lit("sample"), "doc_id")
-    chosen = known.where(place <= F.lit(int((share * 2 - 1) * (2**63 - 1))).cast("long"))
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(10**9))
+    chosen = known.where(place < int(share * 10**9))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(SHARDS)).cast("int")
     return cut(rows.select(shard.alias("shard"), "y", F.coalesce("text", F.lit("")).alias("text"),
