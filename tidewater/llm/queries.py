@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, toxicity
+from . import merges, planes, quality, toxicity
 from .common import read
 
 
@@ -13,10 +14,20 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of every document, read back."""
+    return planes.token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op6_toxicity)}
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes decoded from them."""
+    return merges.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), ["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op3_token_files, op6_toxicity, op7_byte_bpe)}
 ORACLES: dict[str, str] = {}
