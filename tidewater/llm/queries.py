@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merges, planes, quality, toxicity
+from . import merges, mixing, planes, quality, simhash, toxicity
 from .common import read
 
 
@@ -14,6 +14,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of every document, read back."""
     return planes.token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -29,5 +34,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merges.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_token_files, op6_toxicity, op7_byte_bpe)}
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and component of every document: 4-word shingles, 4 bits."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, radius=4)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_token_files, op6_toxicity, op7_byte_bpe, op8_simhash)}
 ORACLES: dict[str, str] = {}
