@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import merges, mixing, planes, quality, simhash, toxicity
+from . import hilbert, merges, mixing, planes, pstable, quality, simhash, toxicity
 from .common import read
 
 
@@ -24,6 +25,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors by inner product of every vector whose id is divisible by 20."""
+    return hilbert.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -39,5 +45,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, radius=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_token_files, op6_toxicity, op7_byte_bpe, op8_simhash)}
+def op9_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.93 within its label."""
+    return pstable.near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_token_files, op4_hilbert, op6_toxicity, op7_byte_bpe,
+                                   op8_simhash, op9_pstable)}
 ORACLES: dict[str, str] = {}
