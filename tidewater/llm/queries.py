@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert, merges, mixing, planes, pstable, quality, simhash, toxicity
+from . import hilbert, merges, mixing, planes, pstable, quality, secret_scan, simhash, toxicity
 from .common import read
 
 
@@ -50,6 +50,11 @@ def op9_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the base patterns and random-looking tokens."""
+    return secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_token_files, op4_hilbert, op6_toxicity, op7_byte_bpe,
-                                   op8_simhash, op9_pstable)}
+                                   op8_simhash, op9_pstable, op10_secrets)}
 ORACLES: dict[str, str] = {}
