@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert, merges, mixing, planes, pstable, quality, secret_scan, simhash, toxicity
+from . import hilbert, lines, merges, mixing, planes, pstable, quality, secret_scan, simhash, toxicity
 from .common import read
 
 
@@ -30,6 +30,11 @@ def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that occur, or nearly occur, before."""
+    return lines.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"), counts=True)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -55,6 +60,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_token_files, op4_hilbert, op6_toxicity, op7_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_token_files, op4_hilbert, op5_line_dedup, op6_toxicity, op7_byte_bpe,
                                    op8_simhash, op9_pstable, op10_secrets)}
 ORACLES: dict[str, str] = {}
