@@ -14,6 +14,7 @@ from .common import cut, held_out
 BITS = 18          # 2**18 weights: a model is 1 MB whatever the corpus
 TRAIN_ROWS = 12_000  # bound of the labelled sample a classifier is fitted on
 SHARDS = 4         # learners whose states are averaged after each round
+SHARD_ROWS = 3_000  # documents a learner goes through in a round; a smaller shard is repeated
 ROUNDS = 3
 
 
@@ -48,11 +49,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_rows:
     known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
              .groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("y")))
     known = cut(known, "labels")
-    share = min(1.0, train_rows / max(1, known.count()))
+    n = known.count()
+    share = min(1.0, train_rows / max(1, n))
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(10**9))
     chosen = known.where(place < int(share * 10**9))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(SHARDS)).cast("int")
+    shards = SHARDS if share * n >= SHARDS * SHARD_ROWS / 2 else 1
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)).cast("int")
     return cut(rows.select(shard.alias("shard"), "y", F.coalesce("text", F.lit("")).alias("text"),
                            F.xxhash64("doc_id").alias("place")), "sample")
 
@@ -62,13 +65,14 @@ def _shard_learner(train, start, seed: int, alpha: float, l1: float, l2: float):
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         z, n = (x.astype(np.float64) for x in start.value)
         learner = Learner(z, n, alpha, l1, l2)
-        train(learner, rows.sort_values(["place", "text"]).sample(frac=1.0, random_state=seed))
+        rows = rows.sort_values(["place", "text"]).sample(frac=1.0, random_state=seed)
+        train(learner, rows, max(1, SHARD_ROWS // len(rows)))
         return pd.DataFrame({"z": [learner.z.astype(np.float32).tobytes()],
                              "n": [learner.n.astype(np.float32).tobytes()]})
     return learn
 
 
-def fit(sample: DataFrame, train: Callable[[Learner, pd.DataFrame], None], alpha: float = 0.1,
+def fit(sample: DataFrame, train: Callable[[Learner, pd.DataFrame, int], None], alpha: float = 0.1,
         l1: float = 0.5, l2: float = 1.0, bits: int = BITS, rounds: int = ROUNDS) -> np.ndarray:
     """Weights learnt by iterative parameter mixing: each shard continues from the
     averaged state, and only ``SHARDS`` fixed-size states reach the driver per round."""

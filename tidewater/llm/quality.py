@@ -48,20 +48,22 @@ def _grams(texts: Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([words, shapes]), np.concatenate([owner, owner_too])
 
 
-def _train(learner: Learner, rows: pd.DataFrame, bits: int = BITS) -> None:
-    y, done = rows["y"].to_numpy(), 0
+def _train(learner: Learner, rows: pd.DataFrame, epochs: int = 1, bits: int = BITS) -> None:
+    """Passes over documents, one update each."""
+    y, bags = rows["y"].to_numpy(), []
     for texts in text_blocks(pa.array(rows["text"], pa.large_string())):
         slots, owner = _grams(texts, bits)
         order = np.argsort(owner, kind="stable")
-        parts = np.split(slots[order], np.cumsum(np.bincount(owner, minlength=len(texts)))[:-1])
-        for grams in parts:
+        for grams in np.split(slots[order], np.cumsum(np.bincount(owner, minlength=len(texts)))[:-1]):
             at, times = np.unique(grams, return_counts=True)
-            at = np.append(at, 1 << bits)
-            x = np.append(times / np.sqrt(max(len(grams), 1)), 1.0)
+            bags.append((np.append(at, 1 << bits), np.append(times / np.sqrt(max(len(grams), 1)), 1.0)))
+    rng = np.random.default_rng(len(bags))
+    for _ in range(epochs):
+        for i in rng.permutation(len(bags)):
+            at, x = bags[i]
             w = learner.weights(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
-            learner.update(at, w, (p - y[done]) * x)
-            done += 1
+            learner.update(at, w, (p - y[i]) * x)
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> np.ndarray:

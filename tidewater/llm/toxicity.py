@@ -23,6 +23,7 @@ from .tokens import Tokens, ngram_slots, stem_hashes
 
 THRESHOLD = 0.5   # of a document
 OFFENDING = 0.25  # of a sentence reported as offending
+MIN_DOCS = 3      # of a shard, that have a gram before it is learnt from
 PRIOR = -5.0      # log odds of a sentence with no known gram
 
 _END = np.zeros(256, bool)
@@ -57,31 +58,42 @@ def _sigmoid(s: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(s, -30, 30)))
 
 
-def _train(learner: Learner, rows: pd.DataFrame, bits: int = BITS) -> None:
-    y, done = rows["y"].to_numpy(), 0
+def _train(learner: Learner, rows: pd.DataFrame, epochs: int = 1, bits: int = BITS) -> None:
+    """Passes over documents; grams of fewer than ``MIN_DOCS`` of them teach nothing general
+    (a label could be explained by any word that only its document has)."""
+    y, bags = rows["y"].to_numpy(), []
+    seen = np.zeros(1 << bits, np.int64)
     for texts in text_blocks(pa.array(rows["text"], pa.large_string())):
         found = Sentences(texts, bits)
         owner_text = found.text[found.owner]
         order = np.argsort(owner_text, kind="stable")
         cuts = np.cumsum(np.bincount(owner_text, minlength=len(texts)))[:-1]
-        slots, owners = np.split(found.slots[order], cuts), np.split(found.owner[order], cuts)
-        for grams, owner in zip(slots, owners, strict=True):
-            if len(grams):
-                at, gram = np.unique(grams, return_inverse=True)
-                at = np.append(at, 1 << bits)
-                w = learner.weights(at)
-                owner = owner - owner.min()
-                p = _sigmoid(np.bincount(owner, weights=w[gram]) + w[-1] + PRIOR)
-                clean = np.exp(np.sum(np.log1p(-p)))
-                g = p if y[done] == 0 else -p * clean / max(1 - clean, 1e-9)
-                step = np.append(np.bincount(gram, weights=g[owner], minlength=len(at) - 1), g.sum())
-                learner.update(at, w, np.clip(step, -2, 2))
-            done += 1
+        for grams, owner in zip(np.split(found.slots[order], cuts), np.split(found.owner[order], cuts), strict=True):
+            at, gram = np.unique(grams, return_inverse=True)
+            seen[at] += 1
+            bags.append((at, gram, owner - owner.min() if len(owner) else owner))
+    for i, (at, gram, owner) in enumerate(bags):
+        common = seen[at] >= MIN_DOCS
+        place = np.cumsum(common) - 1
+        stay = common[gram]
+        bags[i] = np.append(at[common], 1 << bits), place[gram[stay]], owner[stay], int(owner.max(initial=-1)) + 1
+    rng = np.random.default_rng(len(bags))
+    for _ in range(epochs):
+        for i in rng.permutation(len(bags)):
+            at, gram, owner, sentences = bags[i]
+            if not sentences:
+                continue
+            w = learner.weights(at)
+            p = _sigmoid(np.bincount(owner, weights=w[gram], minlength=sentences) + w[-1] + PRIOR)
+            clean = np.exp(np.sum(np.log1p(-p)))
+            g = p if y[i] == 0 else -p * clean / max(1 - clean, 1e-9)
+            step = np.append(np.bincount(gram, weights=g[owner], minlength=len(at) - 1), g.sum())
+            learner.update(at, w, np.clip(step, -2, 2))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> np.ndarray:
     """Sentence weights fitted from document labels on a bounded sample not held out."""
-    return fit(labelled_sample(docs, labels, label), _train, alpha=1.0, l1=0.3, l2=0.1)
+    return fit(labelled_sample(docs, labels, label), _train, alpha=1.0, l1=1.0, l2=0.1)
 
 
 def score_toxicity(docs: DataFrame, weights: np.ndarray, keep: list[str], out: str = "score",
