@@ -1,0 +1,123 @@
+"""Operators on vectors against brute force, with edge rows."""
+
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.llm import hilbert, pstable
+from tidewater.llm.links import Forest, components
+
+from . import helpers
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, rank int, score double, bucket string"
+BAD = [None, [0.0] * 16, [float("nan")] + [1.0] * 15, [float("inf")] + [1.0] * 15, [None] + [1.0] * 15]
+
+
+def _table(spark, vectors, labels, start=0):
+    rows = [(start + i, v if v is None else [None if x is None else float(x) for x in v], None if y is None else int(y), 1, 2.0, "b")
+            for i, (v, y) in enumerate(zip(vectors, labels, strict=True))]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def _near_copies(rng, n, dim=16):
+    x = rng.normal(size=(n, dim))
+    for i in range(0, n, 3):  # copies at all distances around the threshold
+        y = x[i] + rng.normal(size=dim) * rng.uniform(0, 0.5) * np.linalg.norm(x[i]) / np.sqrt(dim)
+        x[(i * 7 + 1) % n] = y
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("tile", [2048, 24])
+def test_near_vectors(spark, tile):
+    rng = np.random.default_rng(1)
+    x = _near_copies(rng, 360)
+    x[10:40] = x[10]  # one vector many times
+    x[100:160] = x[100] + rng.normal(size=(60, 16)).astype(np.float32) * 0.02  # one dense group
+    y = [None if i % 50 == 49 else i % 2 if not 100 <= i < 160 else 1 for i in range(360)]
+    table = _table(spark, [*x.tolist(), *BAD], [*y, *([1] * len(BAD))])
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links, groups = np.zeros(360, int), helpers.Groups(360)
+    for i, j in itertools.combinations(range(360), 2):
+        if y[i] is not None and y[i] == y[j] and unit[i] @ unit[j] >= 0.93:
+            links[[i, j]] += 1
+            groups.join(i, j)
+    out = {r.vec_id: r for r in pstable.near_vectors(table, tile=tile).collect()}
+    assert len(out) == 360 + len(BAD)
+    found = sum(out[i].n_links for i in range(360))
+    assert found >= 0.99 * links.sum() and all(out[i].n_links <= links[i] for i in range(360))
+    if found == links.sum():
+        assert [out[i].component_id for i in range(360)] == [groups.find(i) for i in range(360)]
+    for i in range(360, 360 + len(BAD)):
+        assert (out[i].n_links, out[i].component_id, out[i].kept) == (0, i, True)
+
+
+def test_near_vectors_edges(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert pstable.near_vectors(empty).count() == 0
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (2, [1.0, 0.0, 0.0], 1), (3, [1.0, 0.0], None)]
+    out = pstable.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in out) == [
+        (0, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True), (2, 0, 2, True), (3, 0, 3, True)]
+
+
+def _nearest(x, ids, query, k):
+    s = np.einsum("ij,j->i", x, x[query])
+    order = np.lexsort((ids, -s))
+    return [(int(ids[i]), s[i]) for i in order if ids[i] != ids[query]][:k]
+
+
+def test_nearest_small_is_exact(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 16)).astype(np.float32)
+    x[50:90] = x[50]  # ties go to the smaller id
+    out = hilbert.nearest(_table(spark, [*x.tolist(), *BAD], [1] * (400 + len(BAD))), F.col("vec_id") % 20 == 0, k=20).collect()
+    assert {r.query_id for r in out} == set(range(0, 400, 20))
+    for q in range(0, 400, 20):
+        mine = sorted((r.rank, r.vec_id, r.score) for r in out if r.query_id == q)
+        wanted = _nearest(x.astype(float), np.arange(400), q, 20)
+        assert [v for _, v, _ in mine] == [v for v, _ in wanted]
+        assert np.allclose([s for _, _, s in mine], [s for _, s in wanted], rtol=1e-12)
+
+
+def test_nearest_recall(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 32)).astype(np.float32) * rng.uniform(0.5, 1.5, size=(6000, 1))
+    out = hilbert.nearest(_table(spark, x.tolist(), [1] * 6000), F.col("vec_id") % 60 == 0, k=20, least=200).collect()
+    found = {(r.query_id, r.vec_id) for r in out}
+    wanted = {(q, v) for q in range(0, 6000, 60) for v, _ in _nearest(x.astype(float), np.arange(6000), q, 20)}
+    assert len(found & wanted) >= 0.9 * len(wanted)
+
+
+def test_nearest_few_rows(spark):
+    assert hilbert.nearest(spark.createDataFrame([], SCHEMA), F.lit(True)).count() == 0
+    out = hilbert.nearest(_table(spark, [[1, 0], [2, 0], [0, 1]], [1] * 3), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.rank, r.vec_id, r.score) for r in out] == [(1, 1, 2.0), (2, 2, 0.0)]
+
+
+@pytest.mark.parametrize("dims,bits", [(2, 3), (3, 2), (4, 2)])
+def test_hilbert_curve_visits_neighbours(dims, bits):
+    cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)))
+    key = hilbert.hilbert_key(cells, bits)
+    walk = cells[np.argsort(key)]
+    assert sorted(key.tolist()) == list(range(len(cells)))
+    assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(300)]
+    star = [(1000, i) for i in range(1001, 1500)]
+    out = components(spark.createDataFrame([*chain, *star, (7, 7), (5000, 4000)], "a bigint, b bigint"))
+    groups = {}
+    for r in out.collect():
+        groups.setdefault(r.component, set()).add(r.node)
+    assert sorted(map(sorted, groups.values())) == [list(range(301)), list(range(1000, 1500)), [4000, 5000]]
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_forest():
+    forest = Forest(8)
+    forest.link(np.array([0, 1, 5]), np.array([1, 2, 7]))
+    forest.link(np.array([2]), np.array([7]))
+    assert forest.root.tolist() == [0, 0, 0, 3, 4, 0, 6, 0]
