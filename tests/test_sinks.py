@@ -2,13 +2,14 @@
 keyed upsert with an injected client, Kafka value decoding, console."""
 
 import glob
+import json
 import os
 import uuid
 
 from pyspark.sql import functions as F
 
-from tidewater.sinks import (collapse_latest, jdbc_insert, jdbc_stream_writer, print_rows,
-                             read_jdbc, upsert_partitions)
+from tidewater.sinks import (collapse_latest, jdbc_insert, jdbc_stream_writer, print_rows, read_buckets,
+                             read_jdbc, rolling_text_stream, upsert_partitions, write_rolling_text)
 from tidewater.sinks.jdbc import default_url
 from tidewater.sources import decode_value, from_data, kafka_options
 
@@ -77,35 +78,22 @@ def test_console_label(spark, capsys):
     assert "result1" in capsys.readouterr().out
 
 
-def test_named_parts_roll_by_size_and_commit(spark, tmp_dir):
-    from tidewater.sinks.rolling_file import read_named_parts, write_named_parts
-    rows = [(i, f"line-{i:04d}", f"2024-01-01 0{i % 3}:00:00") for i in range(300)]
-    df = from_data(spark, rows, "id int, value string, t string") \
-        .withColumn("ts", F.to_timestamp("t")).repartition(3)
-    write_named_parts(df, tmp_dir, bucket_time="ts", max_part_bytes=200)
-    files = [(d, f) for d, _, fs in os.walk(tmp_dir) for f in fs]
-    assert files and all(f.startswith("test-") and f.endswith(".txt") for _, f in files)
-    assert sorted({os.path.basename(d) for d, _ in files}) == [
-        "2024-01-01--00", "2024-01-01--01", "2024-01-01--02"]
-    assert all(os.path.getsize(os.path.join(d, f)) <= 200 for d, f in files)
-    back = read_named_parts(spark, tmp_dir)
-    assert sorted(r.value for r in back.collect()) == sorted(r[1] for r in rows)
-    assert {r.bucket for r in back.collect()} == {"2024-01-01--00", "2024-01-01--01", "2024-01-01--02"}
-
-
-def test_named_parts_stream(spark, tmp_dir):
-    import json
-    from tidewater.sinks.rolling_file import named_parts_stream, read_named_parts
-    src = os.path.join(tmp_dir, "in")
-    os.makedirs(src)
-    for k in range(2):
-        with open(os.path.join(src, f"{k}.json"), "w") as f:
-            for v in ["aaa", "bbb", "ccc", "ddd", "ew2"]:
-                f.write(json.dumps({"value": v}) + "\n")
-    df = spark.readStream.schema("value string").json(src)
-    q = named_parts_stream(df, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", trigger=None, max_part_bytes=8)
-    q.awaitTermination(120)
-    back = read_named_parts(spark, f"{tmp_dir}/out")
-    assert sorted(r.value for r in back.collect()) == sorted(["aaa", "bbb", "ccc", "ddd", "ew2"] * 2)
-    names = [f for _, _, fs in os.walk(f"{tmp_dir}/out") for f in fs]
-    assert all(n.startswith("test-b") and n.endswith(".txt") for n in names) and len(names) >= 5
+def test_rolling_text_overwrites_and_appends(spark, tmp_dir):
+    df = spark.range(40).select(F.col("id").cast("string").alias("value"), F.timestamp_seconds(F.col("id") * 1800).alias("ts"))
+    write_rolling_text(df, f"{tmp_dir}/o", bucket_time="ts", max_records_per_file=1)
+    write_rolling_text(df.limit(3), f"{tmp_dir}/o", bucket_time="ts")
+    assert read_buckets(spark, f"{tmp_dir}/o").count() == 43
+    write_rolling_text(df.limit(3), f"{tmp_dir}/o", bucket_time="ts", mode="overwrite", files_per_bucket=2)
+    assert read_buckets(spark, f"{tmp_dir}/o").count() == 3
+
+
+def test_second_stream_query_keeps_the_first_ones_files(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    for n in (1, 2):
+        with open(f"{tmp_dir}/in/{n}.json", "w") as f:
+            f.writelines(json.dumps({"value": f"{n}-{i}", "ts": "2024-01-01 00:00:00"}) + "\n" for i in range(3))
+        df = spark.readStream.schema("value string, ts timestamp").json(f"{tmp_dir}/in")
+        df = df.where(F.col("value").startswith(f"{n}-"))
+        rolling_text_stream(df, f"{tmp_dir}/out", f"{tmp_dir}/ckpt{n}", bucket_time="ts", trigger=None).awaitTermination()
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(f"{tmp_dir}/out")
+    assert files.count() == 6

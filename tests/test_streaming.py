@@ -349,7 +349,7 @@ def test_stream_running_sum_of_doubles(spark):
 def test_split_running_batches_replay_is_idempotent(spark, tmp_dir):
     from tidewater.streaming import running_batches
     fn = running_batches("name", "seq", "score", "score", f"{tmp_dir}/out", f"{tmp_dir}/state",
-                         chunk_rows=1)
+                         parts=3)
     b0 = from_rows(spark, [(0, "Alice", 12), (1, "Bob", 10)])
     b1 = from_rows(spark, [(2, "Alice", 100), (3, "Alice", 0)])
     b2 = from_rows(spark, [(4, "Bob", 5)])

@@ -6,21 +6,19 @@ obvious ``Window.partitionBy(key)`` puts every row of a key into one task,
 which fails when one key holds a large share of the data, so the sum is
 computed in two levels:
 
-1. Heavy keys are found with a partial aggregate (row count, min and max of
-   the leading order column) and the heaviest ``max_hot_keys`` of those above
-   ``chunk_rows`` rows are kept.  That table is bounded by ``max_hot_keys``
-   rows; it is fetched once and broadcast.
-2. A heavy key's rows are cut into ``ceil(rows / chunk_rows)`` (at most
-   ``max_chunks``) contiguous ranges of the leading order column; every other
-   key is one chunk.  Windows run per ``(key, chunk)``, so no task holds more
-   than about ``chunk_rows`` rows of one key.
-3. Per-chunk totals of heavy keys (exactly the sum of their chunk counts,
-   known from step 1) are prefix-summed and added back with an equi-join on
-   ``(key, chunk)``: broadcast when that count is small, else a sort-merge
-   join whose big side reuses the window's hash partitioning.  With no
-   heavy key there is nothing to add back and the window is the whole plan.
-
-Results are exact: chunking changes only where rows are processed.
+1. Rows are range-partitioned by ``(key, order)`` and written to the shared
+   folder with the number of their partition, which fixes the ranges once.  The
+   bounds come from Spark's sample of the data, so partitions are even
+   whatever the keys, the spacing of the order values or their type; rows that
+   tie are told apart by a row number.
+2. Windows run per ``(key, partition)``: no task holds more of a key than one
+   partition.
+3. The rows of a partition continue at most one key of the partitions before
+   it.  That key's earlier total is a prefix sum over per-partition totals: one row per
+   partition at most, hence broadcast, and added back by an equi-join.
+
+Results are exact: the ranges change only where rows are processed.  Nulls form
+a key of their own, sort first in the order, and add nothing to a sum.
 """
 
 from __future__ import annotations
@@ -29,26 +27,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tidewater.functions.rows import row_kind_rows
 from tidewater.functions.util import as_col
-
-CHUNK_ROWS = 4_000_000
-MAX_HOT_KEYS = 10_000
-MAX_CHUNKS = 4_096
-# Largest chunk-offset table (rows, known exactly beforehand) that is broadcast.
-OFFSETS_BROADCAST_ROWS = 1_000_000
-
-
-def _numeric(df: DataFrame, name: str) -> Column:
-    t = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(t, DateType):
-        return F.unix_date(c).cast("bigint")
-    return c.cast("double")
+from tidewater.session import scratch_path
 
 
 def _add(a: Column, b: Column) -> Column:
@@ -56,87 +38,51 @@ def _add(a: Column, b: Column) -> Column:
     return F.when(b.isNull(), a).when(a.isNull(), b).otherwise(a + b)
 
 
-def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
-                 chunk_rows: int = CHUNK_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
-                 max_chunks: int = MAX_CHUNKS, before_suffix: str | None = "_before",
-                 count_before: str | None = None) -> DataFrame:
+def _ranges(df: DataFrame, by: list[str], parts: int | None) -> DataFrame:
+    """``df`` with ``__row`` and the range partition ``__part`` by ``by``, written and reread."""
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    order = [*by, "__row"]
+    dealt = numbered.repartitionByRange(parts, *order) if parts else numbered.repartitionByRange(*order)
+    dealt = dealt.withColumn("__part", F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "ranges")
+    dealt.write.parquet(path)
+    return df.sparkSession.read.schema(dealt.schema).parquet(path)
+
+
+def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *, parts: int | None = None,
+                 before_suffix: str | None = "_before", count_before: str | None = None) -> DataFrame:
     """Add, per output name, the running ``sum`` of a value over the key's rows
     in ``order`` (current row included).
 
     ``before_suffix`` also adds the sum over earlier rows only (``name_before``),
-    ``count_before`` the number of earlier rows of the key.
+    ``count_before`` the number of earlier rows of the key.  ``parts`` is the number
+    of ranges (default: the session's shuffle partitions).
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
     vals = {name: as_col(v) for name, v in values.items()}
-    lead = _numeric(df, order[0])
-
-    hot = (df.groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("__rows"), F.min(lead).alias("__lo"), F.max(lead).alias("__hi"))
-           .filter(F.col("__rows") > chunk_rows)
-           # a total order, so any recomputation picks the same keys
-           .orderBy(F.col("__rows").desc(), *[F.col(k).asc_nulls_first() for k in keys])
-           .limit(max_hot_keys)   # bounds the broadcast; lighter keys stay exact, in one chunk
-           .select(*keys, "__lo", "__hi",
-                   F.least(F.ceil(F.col("__rows") / chunk_rows), F.lit(max_chunks)).alias("__chunks")))
-
-    # The heavy-key table is a top-k of at most ``max_hot_keys`` rows, which a
-    # broadcast sends through the driver anyway: fetch it once and embed it in
-    # the plan.  Both uses below then see the same rows, the aggregate runs
-    # once, and no executor loss can make the two uses disagree.
-    hot_rows = hot.collect()
-    hot = df.sparkSession.createDataFrame(hot_rows, hot.schema)
-    # exact size of the chunk-offset table: one row per chunk of a heavy key
-    n_offsets = sum(r["__chunks"] for r in hot_rows)
-
-    width = (F.col("__hi") - F.col("__lo") + 1) / F.col("__chunks")
-    # a null order value sorts first, so it belongs to the first chunk
-    chunk = (F.when(F.col("__chunks").isNull() | lead.isNull(), F.lit(0))
-             .otherwise(F.least(F.floor((lead - F.col("__lo")) / width),
-                                F.col("__chunks") - 1)).cast("int"))
-    if n_offsets == 0:  # no heavy key: one chunk per key, nothing to add back
-        tagged = df.withColumn("__chunk", F.lit(0))
-    else:
-        tagged = (df.join(F.broadcast(hot), keys, "left")
-                  .withColumn("__chunk", chunk)
-                  .withColumn("__hot", F.col("__chunks").isNotNull())
-                  .drop("__lo", "__hi", "__chunks"))
-
-    part = keys + ["__chunk"]
-    # without heavy keys partition by the key alone, so later per-key steps
-    # (a groupBy, a join on the key) reuse this partitioning
-    w = Window.partitionBy(*(keys if n_offsets == 0 else part)).orderBy(*order)
+    tagged = _ranges(df, keys + order, parts)
+
+    # by key first, so that steps after it that group or join on the key reuse the order
+    w = Window.partitionBy(*keys, "__part").orderBy(*order, "__row")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    local_cols = []
-    for name, v in vals.items():
-        local_cols.append(F.sum(v).over(upto).alias(f"__l_{name}"))
-        if before_suffix is not None:
-            local_cols.append(F.sum(v).over(prior).alias(f"__p_{name}"))
-    if count_before is not None:
-        local_cols.append(F.count(F.lit(1)).over(prior).alias("__p_n"))
-    local = tagged.select("*", *local_cols)
-    if n_offsets == 0:
-        out = [F.col(f"__l_{n}").alias(n) for n in vals]
-        if before_suffix is not None:
-            out += [F.col(f"__p_{n}").alias(n + before_suffix) for n in vals]
-        if count_before is not None:
-            out.append(F.col("__p_n").alias(count_before))
-        return _finish(local, df, vals, before_suffix, count_before, out)
-
-    totals = (tagged.filter(F.col("__hot"))
-              .groupBy(*part)
-              .agg(*[F.sum(v).alias(f"__t_{n}") for n, v in vals.items()],
-                   F.count(F.lit(1)).alias("__t_n")))
-    before_chunk = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(*part,
-                            *[F.sum(f"__t_{n}").over(before_chunk).alias(f"__o_{n}") for n in vals],
-                            F.sum("__t_n").over(before_chunk).alias("__o_n"))
-
-    if n_offsets <= OFFSETS_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    joined = local.join(offsets, part, "left")
+    local = tagged.select(
+        "*", *[F.sum(v).over(upto).alias(f"__l_{n}") for n, v in vals.items()],
+        *[F.sum(v).over(prior).alias(f"__p_{n}") for n, v in vals.items()], F.count(F.lit(1)).over(prior).alias("__p_n"))
+
+    totals = tagged.groupBy(*keys, "__part").agg(
+        *[F.sum(v).alias(f"__t_{n}") for n, v in vals.items()], F.count(F.lit(1)).alias("__t_n"))
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__part").alias("__of"),
+        *[F.sum(f"__t_{n}").over(earlier).alias(f"__o_{n}") for n in vals],
+        F.sum("__t_n").over(earlier).alias("__o_n")).where(F.col("__o_n").isNotNull())
+    same = F.col("__part") == F.col("__of")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    joined = local.join(F.broadcast(offsets), same, "left")  # one row per range at most
+
     out = []
     for name in vals:
         out.append(_add(F.col(f"__l_{name}"), F.col(f"__o_{name}")).alias(name))
@@ -144,14 +90,10 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *,
             out.append(_add(F.col(f"__p_{name}"), F.col(f"__o_{name}")).alias(name + before_suffix))
     if count_before is not None:
         out.append((F.col("__p_n") + F.coalesce(F.col("__o_n"), F.lit(0))).alias(count_before))
-    return _finish(joined, df, vals, before_suffix, count_before, out)
-
-
-def _finish(joined: DataFrame, df: DataFrame, vals, before_suffix, count_before, out) -> DataFrame:
-    names = set(vals) | ({n + before_suffix for n in vals} if before_suffix is not None else set())
-    names |= {count_before} if count_before is not None else set()
+    made = set(vals) | ({n + before_suffix for n in vals} if before_suffix is not None else set())
+    made |= {count_before} if count_before is not None else set()
     # an output may reuse an input's name (a sum written over its own column)
-    return joined.select(*[joined[c] for c in df.columns if c not in names], *out)
+    return joined.select(*[joined[c] for c in df.columns if c not in made], *out)
 
 
 def running_sum(df: DataFrame, key, order, value, out: str = "running", **kw) -> DataFrame:

@@ -31,14 +31,17 @@ def tumbling_aggregate(df: DataFrame, time_col: str, size: str, key, value=None,
             .select(F.col("__w.start").alias("window_start"), *keys, out))
 
 
-def processing_time_window(df: DataFrame, size: str, key, value=None, out: str = "cnt") -> DataFrame:
+def processing_time_window(df: DataFrame, size: str, key, value=None, out: str = "cnt",
+                           watermark: str | None = None) -> DataFrame:
     """Tumbling processing-time window on a stream: the row's arrival clock is
-    its time, with a zero-delay watermark so each window is emitted once.
+    its time, and counts are combined within each task before the shuffle.
 
-    A window is emitted when a later batch moves the watermark past its end;
-    on an idle stream the last window waits for new data.  For windows that
-    must fire on the clock alone use
+    Without ``watermark`` no row is ever dropped: use update mode, where each batch
+    emits the windows it changed.  A watermark lets append mode emit a window once
+    and forget it, but drops rows whose clock lies further back (a machine
+    whose clock is behind), so it must be as long as clocks can differ.
+    For windows that must fire on the clock alone use
     ``tidewater.streaming.stateful.processing_time_window_counts``.
     """
     stamped = df.withColumn(PROCESSING_TIME, F.current_timestamp())
-    return tumbling_aggregate(stamped, PROCESSING_TIME, size, key, value, out, watermark="0 seconds")
+    return tumbling_aggregate(stamped, PROCESSING_TIME, size, key, value, out, watermark=watermark)

@@ -18,7 +18,7 @@ from tidewater.functions.rows import parity_tag, prefixed_string
 from tidewater.plans import sql as tsql
 from tidewater.plans.queries import LONG_PREFIX, STRING_PREFIX
 from tidewater.sinks.jdbc import jdbc_insert, jdbc_stream_writer
-from tidewater.sinks.rolling_file import write_named_parts
+from tidewater.sinks.rolling_file import write_rolling_text
 from tidewater.sinks.upsert import upsert_stream_writer
 from tidewater.sources import order_stream, read_kafka
 from tidewater.streaming.stateful import processing_time_window_counts, stream_enrich
@@ -56,10 +56,10 @@ def parity_outputs(numbers: DataFrame, column: str = "value") -> ops.Routed:
 
 
 def counted_file_copy(lines: DataFrame, path: str, value: str = "value", **sink_opts) -> int:
-    """Copy lines into rolling ``test-*.txt`` parts in date-hour folders while a
+    """Copy lines into rolling text files in date-hour folders while a
     job-wide counter counts them; returns the counter read after the job."""
     counted, obs = ops.observed_count(lines, "elementCounter")
-    write_named_parts(counted, path, value=value, **sink_opts)
+    write_rolling_text(counted, path, value=value, **sink_opts)
     return int(obs.get["elementCounter"])
 
 

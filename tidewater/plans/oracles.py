@@ -27,8 +27,8 @@ ORACLES = {
                   "(SELECT unnest(string_split(text, '')) AS char FROM documents) GROUP BY char",
     "filter_word_count": f"SELECT word, COUNT(*) AS cnt FROM {_WORDS_TABLE} "
                          "WHERE word <> 'the' GROUP BY word",
-    "keyed_reduce": "SELECT event_type, CAST(SUM(user_id) AS BIGINT) AS user_id "
-                    "FROM events GROUP BY event_type",
+    "keyed_reduce": "SELECT event_type, CAST(list_reduce(list(CAST(user_id AS BIGINT) % 1000 + 1), "
+                    "lambda a, b: a * b % 1000003) AS BIGINT) AS user_id FROM events GROUP BY event_type",
     "keyed_sum": "SELECT event_type, CAST(SUM(user_id) AS BIGINT) AS user_id "
                  "FROM events GROUP BY event_type",
     "connect_map": "SELECT 'String->String:' || c_name AS value FROM customer "
@@ -66,10 +66,12 @@ WHERE rn > 1 AND p IS DISTINCT FROM s""",
                        "CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 8, 7))::BIGINT % 1000 AS INTEGER) "
                        "AS money FROM orders",
     "decode_value": "SELECT doc_id, text FROM documents",
-    "upsert_latest": f"SELECT word, COUNT(*) AS cnt FROM {_WORDS_TABLE} GROUP BY word",
+    "upsert_latest": "SELECT event_type, CAST(SUM(user_id) AS BIGINT) AS total FROM events GROUP BY event_type",
+    "word_one_sum": f"SELECT word, COUNT(*) AS cnt FROM {_WORDS_TABLE} GROUP BY word",
+    "rich_map": "SELECT 'Long->String:' || CAST(event_id AS VARCHAR) AS value FROM events",
     "file_sink_roundtrip": "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, "
                            "CAST(event_id AS VARCHAR) || ',' || event_type AS value FROM events",
-    "file_sink_named_parts": "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, "
+    "file_sink_clustered": "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, "
                              "CAST(event_id AS VARCHAR) || ',' || event_type AS value FROM events",
     "jdbc_roundtrip": "SELECT n_name AS name, n_regionkey AS region FROM nation",
 }

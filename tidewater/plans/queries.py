@@ -7,7 +7,7 @@ query stands on replaces the reference's literal input; see FIXTURES.md.
 
 from __future__ import annotations
 
-import operator
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,6 @@ from tidewater import operators as ops
 from tidewater.functions.rows import parity_tag, prefixed_string
 from tidewater.plans import sql as tsql
 from tidewater.sources import decode_value, generate_orders, read_table
-from tidewater.sources.tables import spread_input
 
 # Fixed values that must equal the reference's.
 STRING_PREFIX = "String->String:"
@@ -24,10 +23,11 @@ LONG_PREFIX = "Long->String:"
 WINDOW_SIZE = "5 seconds"
 # The reference drops its most frequent word; on `documents` that word is:
 DROPPED_WORD = "the"
+PRIME = 1_000_003  # modulus of the combine function of ``keyed_reduce``
 
 
 def _words(spark, sf_dir, position: bool = False) -> DataFrame:
-    docs = spread_input(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return ops.tokenize_words(docs, "text", "word", keep=["doc_id"],
                               position="pos" if position else None)
 
@@ -41,7 +41,7 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_input(read_table(spark, sf_dir, "documents", "text"))
+    docs = read_table(spark, sf_dir, "documents", "text")
     return ops.count_by(ops.tokenize_chars(docs, "text", "char"), "char", "cnt")
 
 
@@ -50,9 +50,10 @@ def filter_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user combine function ``(v1, v2) -> v1 + v2`` (the Python path)."""
+    """A combine function no built-in aggregate has: a product modulo a prime."""
     ev = read_table(spark, sf_dir, "events", "event_type", "user_id")
-    return ops.keyed_reduce(ev, "event_type", "user_id", operator.add)
+    ev = ev.select("event_type", (F.col("user_id").cast("bigint") % 1000 + 1).alias("user_id"))
+    return ops.keyed_reduce(ev, "event_type", "user_id", lambda a, b: a * b % PRIME)
 
 
 def keyed_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,12 +150,12 @@ def decode_value_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-record running word totals, collapsed to the value a keyed upsert
-    store (``HSET WordCount word total``) ends with."""
+    """Per-record running totals, collapsed to the value a keyed upsert store
+    (``HSET name key total``) ends with."""
     from tidewater.sinks.upsert import collapse_latest
-    w = _words(spark, sf_dir, position=True).withColumn("one", F.lit(1))
-    running = ops.running_sum(w, "word", ["doc_id", "pos"], "one", out="cnt")
-    return collapse_latest(running, "word", ["doc_id", "pos"], "cnt")
+    ev = read_table(spark, sf_dir, "events", "event_id", "event_type", "user_id")
+    running = ops.running_sum(ev, "event_type", "event_id", "user_id", out="total")
+    return collapse_latest(running, "event_type", "event_id", "total")
 
 
 def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,17 +170,30 @@ def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_buckets(spark, path).select("bucket", "value")
 
 
-def file_sink_named_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lines through the named-part sink (``test-...txt`` parts in
-    ``yyyy-MM-dd--HH`` folders, rolled by size), read back."""
+def file_sink_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with each bucket's rows brought to a few files, read back."""
     from tidewater.session import scratch_path
-    from tidewater.sinks.rolling_file import read_named_parts, write_named_parts
+    from tidewater.sinks.rolling_file import read_buckets, write_rolling_text
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type")
     lines = ev.select(F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"),
                       "ts")
-    path = scratch_path(spark, "named-parts")
-    write_named_parts(lines, path, bucket_time="ts", max_part_bytes=64 * 1024)
-    return read_named_parts(spark, path)
+    path = scratch_path(spark, "file-sink-clustered")
+    write_rolling_text(lines, path, bucket_time="ts", files_per_bucket=4)
+    return read_buckets(spark, path).select("bucket", "value")
+
+
+def word_one_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words paired with one, then a keyed sum."""
+    return ops.keyed_sum(ops.with_one(_words(spark, sf_dir)), "word", "one", "cnt")
+
+
+def rich_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map with an open hook: what ``setup`` made once per task is used on every row."""
+    ev = read_table(spark, sf_dir, "events", "event_id")
+
+    def number(prefix, batch):
+        return batch.assign(value=prefix + batch["event_id"].astype(str))[["value"]]
+    return ops.map_partitions_with_setup(ev, lambda: LONG_PREFIX, number, "value string")
 
 
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +204,7 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from tidewater.sinks.jdbc import default_url, jdbc_insert, read_jdbc
     url = spark.conf.get("tidewater.jdbc.url", None) or default_url()
-    table = "T_NATION"
+    table = f"T_NATION_{uuid.uuid4().hex[:12].upper()}"
     rows = read_table(spark, sf_dir, "nation", "n_name", "n_regionkey").toDF("name", "region")
     jdbc_insert(rows, url, table, mode="overwrite")
     return read_jdbc(spark, url, table).select(F.col("NAME").alias("name"),
@@ -221,6 +235,8 @@ QUERIES = {
     "decode_value": decode_value_q,
     "upsert_latest": upsert_latest,
     "file_sink_roundtrip": file_sink_roundtrip,
-    "file_sink_named_parts": file_sink_named_parts,
+    "file_sink_clustered": file_sink_clustered,
+    "word_one_sum": word_one_sum,
+    "rich_map": rich_map,
     "jdbc_roundtrip": jdbc_roundtrip,
 }

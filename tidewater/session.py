@@ -106,8 +106,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder named by ``spark.checkpoint.dir``.
 
     Lineage cuts, drained stream results and streaming checkpoints go here.
-    Only where the session names none (tests, local runs) is a local folder
-    created and registered.
+    Only a local master, whose executors share the driver's disk, gets a local
+    folder where the session names none; on a cluster that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -120,6 +120,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidewater-shared-")
         sc.setCheckpointDir(base)
     return base.rstrip("/")

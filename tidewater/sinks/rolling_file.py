@@ -62,37 +62,3 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     """Read the lines back with their bucket (kept as a string)."""
     return spark.read.schema(f"value string, {BUCKET} string").text(path)
 
-
-def write_named_parts(df: DataFrame, path: str, value: str = "value", bucket_time: str | None = None,
-                      prefix: str = "test", suffix: str = ".txt",
-                      max_part_bytes: int = 1024 * 1024 * 1024, mode: str = "append") -> None:
-    """Like ``write_rolling_text`` but with the reference's layout: bucket
-    folders ``<path>/<yyyy-MM-dd--HH>/`` holding ``<prefix>-...<suffix>`` parts,
-    a new part every ``max_part_bytes`` (see ``rolling_datasource``)."""
-    from tidewater.sinks.rolling_datasource import FORMAT, register
-    register(df.sparkSession)
-    (bucketed(df, value, bucket_time).write.format(FORMAT).mode(mode)
-        .option("prefix", prefix).option("suffix", suffix)
-        .option("max_part_bytes", str(max_part_bytes)).save(path))
-
-
-def named_parts_stream(df: DataFrame, path: str, checkpoint: str, value: str = "value",
-                       bucket_time: str | None = None, prefix: str = "test", suffix: str = ".txt",
-                       max_part_bytes: int = 1024 * 1024 * 1024, trigger: str | None = "20 seconds"):
-    """Streaming form of ``write_named_parts``; parts of a micro-batch become
-    visible when the batch commits."""
-    from tidewater.sinks.rolling_datasource import FORMAT, register
-    register(df.sparkSession)
-    w = (bucketed(df, value, bucket_time).writeStream.format(FORMAT)
-         .option("checkpointLocation", checkpoint).option("path", path)
-         .option("prefix", prefix).option("suffix", suffix)
-         .option("max_part_bytes", str(max_part_bytes)))
-    w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
-    return w.start()
-
-
-def read_named_parts(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
-    """Lines of committed parts with their bucket folder name."""
-    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
-            .text(path)
-            .select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias(BUCKET), "value"))

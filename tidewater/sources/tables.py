@@ -13,68 +13,44 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table_path(sf_dir: str, name: str) -> str:
-    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+MAX_FILES = 64  # files of a micro-batch: bounds what one trigger reads
 
 
-# Schema per table path, inferred from the parquet footers once per process.
-_SCHEMAS: dict[str, StructType] = {}
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def table_schema(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> StructType:
-    path = table_path(sf_dir, name)
-    if refresh or path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return _SCHEMAS[path]
+def table_schema(spark: SparkSession, sf_dir: str, name: str) -> StructType:
+    """The table's schema, from its footers at the time of the call."""
+    return spark.read.parquet(table_path(sf_dir, name)).schema
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The table with a declared schema (no footer inference on every read),
-    projected to ``columns`` so only those are scanned."""
-    df = spark.read.schema(table_schema(spark, sf_dir, name)).parquet(table_path(sf_dir, name))
+    """The table projected to ``columns``, so only those are scanned."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same table as an unbounded file source.
+                 max_files_per_trigger: int = MAX_FILES) -> DataFrame:
+    """The same table as an unbounded file source, ``max_files_per_trigger`` files
+    to a micro-batch.
 
-    The folder may hold several tables, so the stream watches the folder and
-    filters on the file name; a table stored as a directory of part files
+    The folder may hold several tables, so for a table of one file the stream watches
+    the folder and filters on the file name; a table stored as a directory of part files
     is watched directly.
     """
     path = table_path(sf_dir, name)
-    reader = spark.readStream.schema(table_schema(spark, sf_dir, name))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if _is_dir(path):
+    reader = spark.readStream.schema(table_schema(spark, sf_dir, name)).option("maxFilesPerTrigger", max_files_per_trigger)
+    if _is_dir(spark, path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def _is_dir(path: str) -> bool:
-    """Directory test on any filesystem pyarrow reaches (local, HDFS, S3, ...)."""
-    from pyarrow import fs
-    try:
-        filesystem, inner = fs.FileSystem.from_uri(path)
-        return filesystem.get_file_info(inner).type == fs.FileType.Directory
-    except Exception:  # unknown scheme: treat as a single file
-        return False
-
-
-def spread_input(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Round-robin the rows over all task slots when the scan has fewer splits
-    than slots (e.g. a file stored as one large row group), so CPU-heavy
-    per-row work such as tokenizing runs in parallel.
-
-    Decided at planning time from the number of input splits: on a large
-    input with many splits it adds nothing, and no shuffle is planned.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        slots = slots or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext (a remote session): leave the plan as is
-        return df
-    return df if splits >= slots else df.repartition(slots)
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a directory, asked of the file system Spark reads it with.
+    A path that cannot be reached is an error, not a file."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return where.getFileSystem(conf).getFileStatus(where).isDirectory()

@@ -3,7 +3,7 @@
 ``stream_running_sum`` / ``stream_changelog`` keep state per key in the
 state store, so one key's rows of a micro-batch go to one task.  This form
 runs every micro-batch through the batch algorithm instead
-(``operators.running_sums``: heavy keys cut into order-range chunks) and
+(``operators.running_sums``: ranges of key and order) and
 carries each key's total and row count from batch to batch in a table in the
 shared folder.
 
@@ -36,12 +36,10 @@ def _add(a, b):
 def _previous(spark, state: str, batch_id: int):
     if batch_id == 0:
         return None
-    try:
-        prev = spark.read.parquet(f"{state}/slot={(batch_id - 1) % 2}")
-    except Exception:  # no earlier batch wrote state
-        return None
+    # a batch after the first has totals: an error reading them must not mean zero
+    prev = spark.read.parquet(f"{state}/slot={(batch_id - 1) % 2}")
     found = prev.select(F.max(BATCH)).first()[0]
-    if found is None:
+    if found is None:  # no row yet
         return None
     if found != batch_id - 1:
         raise RuntimeError(f"state slot holds batch {found}, expected {batch_id - 1}")
@@ -49,7 +47,7 @@ def _previous(spark, state: str, batch_id: int):
 
 
 def running_batches(key: str, order: str, value: str, out: str, output: str, state: str,
-                    emit: str = "changelog", **chunking):
+                    emit: str = "changelog", **ranges):
     """``foreachBatch`` function writing each batch's running sums
     (``emit='running'``) or changelog rows to ``output/batch=<id>``."""
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -57,10 +55,11 @@ def running_batches(key: str, order: str, value: str, out: str, output: str, sta
         batch = batch.select(key, order, value).persist()
         try:
             prev = _previous(spark, state, batch_id)
-            r = running_sums(batch, key, order, {out: value}, count_before="tw_seen", **chunking)
+            r = running_sums(batch, key, order, {out: value}, count_before="tw_seen", **ranges)
             if prev is not None:
                 # a hot key on the left is split by adaptive skew-join handling
-                r = r.join(prev, key, "left")
+                of = prev.withColumnRenamed(key, "tw_key")
+                r = r.join(of, F.col(key).eqNullSafe(F.col("tw_key")), "left")
                 r = (r.withColumn(out, _add(F.col(out), F.col(TOTAL)))
                       .withColumn(out + "_before", _add(F.col(out + "_before"), F.col(TOTAL)))
                       .withColumn("tw_seen", F.col("tw_seen") + F.coalesce(F.col(ROWS), F.lit(0))))
@@ -75,8 +74,9 @@ def running_batches(key: str, order: str, value: str, out: str, output: str, sta
 
             totals = batch.groupBy(key).agg(F.sum(value).alias("b_total"), F.count(F.lit(1)).alias("b_rows"))
             if prev is not None:
-                totals = totals.join(prev, key, "full")
-                new = totals.select(key, _add(F.col(TOTAL), F.col("b_total")).alias(TOTAL),
+                of = prev.withColumn("tw_known", F.lit(True)).withColumnRenamed(key, "tw_key")
+                totals = totals.withColumn("tw_new", F.lit(True)).join(of, F.col(key).eqNullSafe(F.col("tw_key")), "full")
+                new = totals.select(F.when(F.col("tw_new"), F.col(key)).otherwise(F.col("tw_key")).alias(key), _add(F.col(TOTAL), F.col("b_total")).alias(TOTAL),
                                     (F.coalesce(F.col(ROWS), F.lit(0))
                                      + F.coalesce(F.col("b_rows"), F.lit(0))).alias(ROWS))
             else:
@@ -90,9 +90,9 @@ def running_batches(key: str, order: str, value: str, out: str, output: str, sta
 
 def stream_running_batches(df: DataFrame, key: str, order: str, value: str, out: str,
                            path: str, checkpoint: str, emit: str = "changelog",
-                           trigger: dict | None = None, **chunking) -> StreamingQuery:
+                           trigger: dict | None = None, **ranges) -> StreamingQuery:
     """Start the query; results land in ``path/data``, totals in ``path/state``."""
-    fn = running_batches(key, order, value, out, f"{path}/data", f"{path}/state", emit, **chunking)
+    fn = running_batches(key, order, value, out, f"{path}/data", f"{path}/state", emit, **ranges)
     w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn)
     if trigger:
         w = w.trigger(**trigger)

@@ -8,6 +8,7 @@ resumes from its offsets and state.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,10 @@ def drain(df: DataFrame, name: str, output_mode: str = "append", *, keys=None,
     schema = df.schema
     try:
         out = spark.read.parquet(data)
-    except Exception:  # nothing was emitted
+    except AnalysisException as e:
+        # no batch wrote anything, or the batches that did were empty; every other error stands
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], schema)
     if output_mode == "update":
         if keys:

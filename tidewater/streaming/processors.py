@@ -22,6 +22,7 @@ from tidewater.functions.rows import INSERT, UPDATE_AFTER, UPDATE_BEFORE
 
 SIDE = "tw_side"  # a leading "__" is renamed on the way into Python
 DIMENSION, RECORD = 0, 1
+MISSING = "tw_missing"  # marks rows whose value is null
 
 
 def _py(v):
@@ -68,6 +69,12 @@ def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
 
+def _nullable(values: np.ndarray, present: np.ndarray, kind: str):
+    """A pandas column that is null where ``present`` is false."""
+    cls = pd.arrays.IntegerArray if kind == "Int64" else pd.arrays.FloatingArray
+    return cls(values, ~present)
+
+
 class EnrichProcessor(StatefulProcessor):
     """Keyed records enriched from a dimension stream (one key = one id).
 
@@ -143,7 +150,7 @@ class RunningSumProcessor(StatefulProcessor):
     ``emit='running'``: one ``(order, key, total)`` row per record.
     ``emit='changelog'``: ``+I`` for the key's first record, ``-U``/``+U``
     for a changed total, nothing for an unchanged one.  Null values add
-    nothing.  Records of a key must arrive in ``order`` across batches.
+    nothing; the total is null until the first other value, as ``SUM``.  Records of a key must arrive in ``order`` across batches.
     """
 
     def __init__(self, key: str, order: str, value: str, out: str = "s", emit: str = "changelog",
@@ -155,7 +162,7 @@ class RunningSumProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         t = LongType() if self.integral else DoubleType()
-        self.total = handle.getValueState("total", StructType([StructField("t", t)]))
+        self.total = handle.getValueState("total", StructType([StructField("t", t), StructField("any", BooleanType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         k = _py(key[0])
@@ -164,19 +171,24 @@ class RunningSumProcessor(StatefulProcessor):
             return
         pdf = pdf.sort_values(self.order, kind="stable")
         seen = self.total.exists()
-        start = self.total.get()[0] if seen else 0
-        vals = pdf[self.value_col].fillna(0).to_numpy(dtype=self.np_type)
+        start, found = self.total.get() if seen else (0, False)
+        real = ~pdf[MISSING].to_numpy(dtype=bool)
+        vals = np.where(real, pdf[self.value_col].to_numpy(), 0).astype(self.np_type)
         after = self.np_type(start) + np.cumsum(vals)
         before = np.concatenate(([self.np_type(start)], after[:-1]))
-        self.total.update((after[-1].item(),))
+        has = np.logical_or.accumulate(real) | found  # a total exists
+        had = np.concatenate(([found], has[:-1]))
+        self.total.update((after[-1].item(), bool(has[-1])))
+        kind = "Int64" if self.integral else "Float64"
         seqs = pdf[self.order].to_numpy()
         if self.emit == "running":
-            yield pd.DataFrame({self.order: seqs, self.key: k, self.out: after})
+            yield pd.DataFrame({self.order: seqs, self.key: k, self.out: _nullable(after, has, kind)})
             return
         first = np.zeros(len(vals), dtype=bool)
         if not seen:
             first[0] = True
-        changed = ~first & (before != after)
+        same = (before == after) | ((before != before) & (after != after))  # NaN equals NaN, as in SQL
+        changed = ~first & ((had != has) | (has & ~same))
         if not first.any() and not changed.any():
             return  # no total changed: nothing to emit (an empty frame does not convert)
         out_seq = np.concatenate([seqs[first], seqs[changed], seqs[changed]])
@@ -184,7 +196,8 @@ class RunningSumProcessor(StatefulProcessor):
                               np.ones(changed.sum(), dtype=np.int32)])
         ops = [INSERT] * int(first.sum()) + [UPDATE_BEFORE] * int(changed.sum()) \
             + [UPDATE_AFTER] * int(changed.sum())
-        s = np.concatenate([after[first], before[changed], after[changed]])
+        s = _nullable(np.concatenate([after[first], before[changed], after[changed]]),
+                      np.concatenate([has[first], had[changed], has[changed]]), kind)
         yield pd.DataFrame({self.order: out_seq, "pos": pos, "op": ops, self.key: k, self.out: s})
 
     def close(self) -> None:
@@ -211,8 +224,8 @@ class RunningReduceProcessor(StatefulProcessor):
         state = self.acc.get()
         acc = state[0] if state is not None else None
         out = []
-        for v in pdf[self.value_col].tolist():
-            v = _coerce(v, self.value_type)
+        for v, missing in zip(pdf[self.value_col].tolist(), pdf[MISSING].tolist(), strict=True):
+            v = None if missing else _coerce(v, self.value_type)
             if v is not None:
                 acc = v if acc is None else _coerce(self.fn(acc, v), self.value_type)
             out.append(acc)

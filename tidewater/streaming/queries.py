@@ -6,6 +6,7 @@ queries' oracles: the drained table must equal the batch answer."""
 from __future__ import annotations
 
 import operator
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +17,13 @@ from tidewater.plans import sql as tsql
 from tidewater.plans.oracles import ORACLES
 from tidewater.plans.queries import LONG_PREFIX, STRING_PREFIX, WINDOW_SIZE
 from tidewater.session import scratch_path
+from tidewater.sinks.jdbc import default_url, jdbc_stream_writer, read_jdbc
 from tidewater.sinks.rolling_file import read_buckets, rolling_text_stream
-from tidewater.sources import decode_value, generate_orders, table_stream
+from tidewater.sources import decode_value, generate_orders, read_table, table_stream, text_lines
 from tidewater.streaming.batched_state import stream_running_batches
 from tidewater.streaming.drain import drain
 from tidewater.streaming.sinks import observed_batches, route_stream
-from tidewater.streaming.stateful import (stream_changelog, stream_enrich, stream_keyed_reduce,
-                                          stream_running_sum)
-
-WATERMARK = "10 minutes"
+from tidewater.streaming.stateful import stream_enrich, stream_keyed_reduce
 
 
 def _events(spark, sf_dir, *cols) -> DataFrame:
@@ -39,14 +38,51 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event-time 5 s windows with a watermark, update mode; the drained table
-    keeps the latest count of each window."""
+    """Event-time 5 s windows, update mode; the drained table keeps the latest count
+    of each window.  No watermark: no row is too late for the final answer."""
     ev = _events(spark, sf_dir, F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    win = ops.tumbling_aggregate(ev, "ts", WINDOW_SIZE, "event_type", out="cnt", watermark=WATERMARK)
+    win = ops.tumbling_aggregate(ev, "ts", WINDOW_SIZE, "event_type", out="cnt")
     out = drain(win, "tumbling", "update", keys=["window_start", "event_type"])
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def stream_processing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processing-time 5 s windows per word, summed over the windows: which window a row
+    meets is a matter of the clock, the sum is not."""
+    docs = table_stream(spark, sf_dir, "documents").select("text")
+    win = ops.processing_time_window(ops.tokenize_words(docs, "text", "word"), WINDOW_SIZE, "word", out="n")
+    out = drain(win, "processing-window", "update", keys=["window_start", "word"])
+    return out.groupBy("word").agg(F.sum("n").alias("cnt"))
+
+
+def stream_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of text files watched line by line, words counted per word."""
+    base = scratch_path(spark, "text-lines")
+    read_table(spark, sf_dir, "documents", "text").write.text(f"{base}/lines")
+    lines = text_lines(spark, path=f"{base}/lines", max_files_per_trigger=64)
+    return drain(ops.count_by(ops.tokenize_words(lines, "value", "word"), "word", "cnt"), "text-lines", "update", keys="word")
+
+
+def stream_jdbc_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events inserted by micro-batch, epoch millis as timestamps, and read back by ranges.
+
+    The URL comes from ``tidewater.jdbc.url``; unset, an in-memory database inside
+    the Spark JVM is used, which only that process sees.
+    """
+    url = spark.conf.get("tidewater.jdbc.url", None) or default_url()
+    name = f"T_EVENTS_{uuid.uuid4().hex[:12].upper()}"
+    ev = _events(spark, sf_dir, F.col("event_id").alias("EVENT_ID"), F.col("event_type").alias("EVENT_TYPE"),
+                 F.unix_millis(F.col("ts").cast("timestamp")).alias("TS"))
+    write = jdbc_stream_writer(url, name, marker_table=f"{name}_DONE", millis_to_timestamp=("TS",))
+    base = scratch_path(spark, "jdbc")
+    ev.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(write).trigger(availableNow=True) \
+        .start().awaitTermination()
+    ids = read_jdbc(spark, url, name).agg(F.min("EVENT_ID").alias("lo"), F.max("EVENT_ID").alias("hi")).first()
+    back = read_jdbc(spark, url, name, column="EVENT_ID", low=ids.lo or 0, high=(ids.hi or 0) + 1, parts=4)
+    return back.select(F.col("EVENT_ID").cast("bigint").alias("event_id"), F.col("EVENT_TYPE").alias("event_type"),
+                       F.unix_millis("TS").alias("ms"))
+
+
 def stream_enrich_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = table_stream(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("subject"),
@@ -57,14 +93,13 @@ def stream_enrich_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_changelog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
-    return drain(stream_changelog(ev, "event_type", "event_id", "user_id", out="s"), "changelog", "append")
+    """The split form: a micro-batch's heavy key is shared by many tasks."""
+    return _split_form(spark, sf_dir, "changelog", "changelog", "s")
 
 
 def stream_running_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
-    return drain(stream_running_sum(ev, "event_type", "event_id", "user_id", out="running"),
-                 "running", "append")
+    """The split form: a micro-batch's heavy key is shared by many tasks."""
+    return _split_form(spark, sf_dir, "running", "running", "running")
 
 
 def stream_keyed_reduce_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,6 +210,9 @@ def stream_running_sum_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
+    "stream_processing_window": stream_processing_window,
+    "stream_text_lines": stream_text_lines,
+    "stream_jdbc_insert": stream_jdbc_insert,
     "stream_enrich": stream_enrich_q,
     "stream_changelog": stream_changelog_q,
     "stream_running_sum": stream_running_sum_q,
@@ -196,6 +234,9 @@ STREAM_QUERIES = {
 STREAM_ORACLES = {
     "stream_word_count": ORACLES["word_count"],
     "stream_tumbling_count": ORACLES["tumbling_count"],
+    "stream_processing_window": ORACLES["word_count"],
+    "stream_text_lines": ORACLES["word_count"].replace("documents)", "(SELECT unnest(string_split(text, chr(10))) AS text, 0 AS doc_id FROM documents))"),
+    "stream_jdbc_insert": "SELECT event_id, event_type, epoch_us(ts) // 1000 AS ms FROM events",
     "stream_enrich": ORACLES["broadcast_enrich"],
     "stream_changelog": ORACLES["changelog_sum"],
     "stream_running_sum": ORACLES["running_sum"],

@@ -91,7 +91,7 @@ def observed_batches(df: DataFrame, name: str, write: Callable[[DataFrame, int],
     def each(batch: DataFrame, batch_id: int) -> None:
         counted, obs = observed_count(batch, name)
         write(counted, batch_id)
-        n = int(obs.get.get(name, 0))
+        n = int(obs.get[name])  # a missing metric is an error, not zero
         batch.sparkSession.createDataFrame([(n,)], f"{name} bigint").write.mode("overwrite") \
             .parquet(f"{metrics_path}/batch={batch_id}")
     w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)

@@ -11,7 +11,7 @@ from pyspark.sql.types import (ByteType, DoubleType, IntegerType, LongType, Shor
                                StructField, StructType, TimestampType)
 
 from tidewater.session import ROCKSDB_PROVIDER
-from tidewater.streaming.processors import (DIMENSION, RECORD, SIDE, EnrichProcessor,
+from tidewater.streaming.processors import (DIMENSION, MISSING, RECORD, SIDE, EnrichProcessor,
                                             ProcessingTimeWindowProcessor, RunningReduceProcessor,
                                             RunningSumProcessor)
 
@@ -27,6 +27,28 @@ def _ensure_rocksdb(df: DataFrame) -> None:
         spark.conf.set(_PROVIDER, ROCKSDB_PROVIDER)
 
 
+def _named_key(df: DataFrame, key: str) -> DataFrame:
+    """``key`` as a text that is never null: state of a null integer key would
+    otherwise be that of another key."""
+    c = F.col(key)
+    return df.withColumn(key, F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), c.cast("string"))))
+
+
+def _own_key(df: DataFrame, key: str, data_type) -> DataFrame:
+    """The inverse of ``_named_key`` on a result."""
+    c = F.col(key)
+    return df.withColumn(key, F.when(c != "n", c.substr(F.lit(2), F.length(c)).cast(data_type)))
+
+
+def _exact(df: DataFrame, value: str) -> DataFrame:
+    """Integers without nulls, and a flag for the nulls: a null would turn the
+    whole column of a batch into doubles on the way to pandas."""
+    flagged = df.withColumn(MISSING, F.col(value).isNull())
+    if not isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return flagged
+    return flagged.withColumn(value, F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType)))
+
+
 def stream_enrich(records: DataFrame, dimension: DataFrame, key: str, record_cols, dim_cols,
                   order: str | None = None, clear_buffer: bool = False,
                   salts: int = SALTS) -> DataFrame:
@@ -35,12 +57,14 @@ def stream_enrich(records: DataFrame, dimension: DataFrame, key: str, record_col
     Both inputs are projected to one tagged schema, unioned and grouped by
     ``(key, salt)``: each task keeps only its keys' state instead of a full
     broadcast copy.  Records take a salt from a hash of their values, so one
-    hot key's records spread over ``salts`` tasks; every dimension row is
+    hot key's records spread over ``salts`` tasks (sized to the skew by the caller); every dimension row is
     copied to all salts, so each group sees the key's current value.
     (For a static dimension use ``tidewater.operators.enrich``.)
     Output: ``key``, ``dim_cols``, ``record_cols``.
     """
     _ensure_rocksdb(records)
+    # an inner join never matches a null key
+    records, dimension = records.where(F.col(key).isNotNull()), dimension.where(F.col(key).isNotNull())
     record_cols, dim_cols = list(record_cols), list(dim_cols)
     rec_schema = StructType([records.schema[c] for c in record_cols])
     dim_schema = StructType([dimension.schema[c] for c in dim_cols])
@@ -73,14 +97,14 @@ def _running(df: DataFrame, key: str, order: str, value: str, out: str, emit: st
     integral = isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType, LongType))
     total = LongType() if integral else DoubleType()
     if emit == "running":
-        schema = StructType([df.schema[order], df.schema[key], StructField(out, total)])
+        schema = StructType([df.schema[order], StructField(key, StringType()), StructField(out, total)])
     else:
         schema = StructType([df.schema[order], StructField("pos", IntegerType()),
-                             StructField("op", StringType()), df.schema[key],
+                             StructField("op", StringType()), StructField(key, StringType()),
                              StructField(out, total)])
     proc = RunningSumProcessor(key, order, value, out, emit, integral)
-    return (df.select(key, order, value).groupBy(key)
-            .transformWithStateInPandas(proc, schema, "Append", "None"))
+    rows = _exact(_named_key(df.select(key, order, value), key), value)
+    return _own_key(rows.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "None"), key, df.schema[key].dataType)
 
 
 def stream_running_sum(df: DataFrame, key: str, order: str, value: str, out: str = "running") -> DataFrame:
@@ -99,10 +123,10 @@ def stream_keyed_reduce(df: DataFrame, key: str, order: str, value: str, fn) ->
     Named reducers need no Python: ``groupBy(key).agg(...)`` in update mode."""
     _ensure_rocksdb(df)
     vtype = df.schema[value].dataType
-    schema = StructType([df.schema[order], df.schema[key], StructField(value, vtype)])
+    schema = StructType([df.schema[order], StructField(key, StringType()), StructField(value, vtype)])
     proc = RunningReduceProcessor(key, order, value, fn, vtype)
-    return (df.select(key, order, value).groupBy(key)
-            .transformWithStateInPandas(proc, schema, "Append", "None"))
+    rows = _exact(_named_key(df.select(key, order, value), key), value)
+    return _own_key(rows.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "None"), key, df.schema[key].dataType)
 
 
 def processing_time_window_counts(df: DataFrame, key: str, size_ms: int, value: str | None = None,
@@ -110,8 +134,11 @@ def processing_time_window_counts(df: DataFrame, key: str, size_ms: int, value:
     """Tumbling processing-time windows that fire on the clock, idle input included."""
     _ensure_rocksdb(df)
     cols = [key] + ([value] if value else [])
-    schema = StructType([StructField("window_start", TimestampType()), df.schema[key],
+    schema = StructType([StructField("window_start", TimestampType()), StructField(key, StringType()),
                          StructField(out, LongType())])
     proc = ProcessingTimeWindowProcessor(key, size_ms, value, out)
-    return (df.select(*cols).groupBy(key)
-            .transformWithStateInPandas(proc, schema, "Append", "ProcessingTime"))
+    rows = _named_key(df.select(*cols), key)
+    if value:
+        rows = _exact(rows, value)
+    return _own_key(rows.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "ProcessingTime"),
+                    key, df.schema[key].dataType)
