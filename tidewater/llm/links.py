@@ -19,30 +19,27 @@ def components(edges: DataFrame, name: str = "links") -> DataFrame:
     minimum, so a hub is combined before the shuffle.  Links with a null end are
     ignored; an empty table has no component.
     """
-    left = cut(edges.where(F.col("a") != F.col("b"))
-               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
-    labels, k = None, 0
+    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    left = cut(edges.where(F.col("a") != F.col("b")).select(*ordered("a", "b")).distinct(), name)
+    labels = left.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
+    k = 0
     while not left.isEmpty():
         both = left.select(F.col("a").alias("node"), F.col("b").alias("other")).union(
             left.select(F.col("b").alias("node"), F.col("a").alias("other")))
         place = lambda c, k=k: F.struct(F.xxhash64(F.lit(k), c).alias("place"), F.col(c).alias("node"))
         first = both.groupBy("node").agg(F.min(place("other")).alias("first"))
-        up = cut(first.select("node", F.least("first", place("node"))["node"].alias("up")), f"{name}-up")
-        up = up.join(up.select(F.col("node").alias("up"), F.col("up").alias("upper")), "up").select("node", "upper")
-        up = cut(up, f"{name}-up")
-        if labels is None:
-            labels = up.select("node", F.col("upper").alias("component"))
+        up = first.select("node", F.least("first", place("node"))["node"].alias("up"))
+        up = cut(up.join(up.select(F.col("node").alias("up"), F.col("up").alias("upper")), "up").select("node", "upper"), name)
+        if k:
+            labels = (labels.join(up.select(F.col("node").alias("component"), "upper"), "component", "left")
+                      .select("node", F.coalesce("upper", "component").alias("component")))
         else:
-            labels = cut(labels.join(up.select(F.col("node").alias("component"), "upper"), "component", "left")
-                         .select("node", F.coalesce("upper", "component").alias("component")), f"{name}-labels")
+            labels = up.select("node", F.col("upper").alias("component"))
         ends = (left.join(up.select(F.col("node").alias("a"), F.col("upper").alias("ua")), "a")
                 .join(up.select(F.col("node").alias("b"), F.col("upper").alias("ub")), "b"))
-        left = cut(ends.where(F.col("ua") != F.col("ub"))
-                   .select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct(), name)
+        left = cut(ends.where(F.col("ua") != F.col("ub")).select(*ordered("ua", "ub")).distinct(), name)
         k += 1
-    if labels is None:
-        labels = left.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return labels
+    return cut(labels, name)
 
 
 class Forest:
