@@ -46,11 +46,22 @@ def write_rolling_text(df: DataFrame, path: str, value: str = "value",
         .partitionBy(BUCKET).text(path))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def rolling_text_stream(df: DataFrame, path: str, checkpoint: str, value: str = "value",
                         bucket_time: str | None = None, trigger: str | None = "20 seconds",
                         max_records_per_file: int = 0):
     """Streaming form: exactly-once file sink, one set of part files per
-    trigger.  ``trigger=None`` processes the available input and stops."""
+    trigger.  ``trigger=None`` processes the available input and stops.
+
+    A folder belongs to one query: Spark's file sink logs batch numbers in it, and a
+    second query's batches would count as written already.  That is refused."""
+    spark = df.sparkSession
+    if _exists(spark, f"{path}/_spark_metadata") and not _exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{path} was written by another query; choose a folder of its own")
     w = (bucketed(df, value, bucket_time).writeStream.format("text")
          .option("checkpointLocation", checkpoint)
          .option("maxRecordsPerFile", max_records_per_file).partitionBy(BUCKET))
