@@ -184,7 +184,8 @@ def fingerprint_components(prints: DataFrame, radius: int, tile: int = TILE) ->
         return pd.DataFrame({"a": every[own].view(np.int64), "b": every[root].view(np.int64)})
 
     pairs = tiles.mapInArrow(pair, "a bigint, b bigint, tile bigint, prints binary")
-    edges = pairs.groupBy("a", "b").applyInPandas(compare, "a bigint, b bigint")
+    # tile pairs are few bytes and much work: a partition for each tile, which adaptive execution leaves alone
+    edges = pairs.repartition(len(ranges), "a", "b").groupBy("a", "b").applyInPandas(compare, "a bigint, b bigint")
     return components(edges, "near").select(F.col("node").alias("fingerprint"), "component")
 
 
