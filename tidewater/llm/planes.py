@@ -15,11 +15,13 @@ system Spark writes to and a lost task leaves nothing behind:
 * ``index/``: the chunk index: ``part, chunk, start`` (place in the whole stream),
   ``n_ids, n_bytes``.
 
-Null and empty texts hold the end id alone.  An empty table gives empty folders.
+Null and empty texts hold the end id alone.  An empty table gives empty folders.  A text is
+cut at the vocabulary's added tokens first, as the library does; what lies between is encoded.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +36,7 @@ from tokenizers import Tokenizer
 
 from tidewater.session import scratch_path
 
-from .common import text_blocks
+from .common import Texts, text_blocks
 from .pretokens import WordTable
 
 CHUNK_IDS = 1 << 16
@@ -71,7 +73,7 @@ class LibraryEncoder:
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_str(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # texts are cut at them before (AddedTokens)
         size = self.tokenizer.get_vocab_size()
         special = {i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         # the alphabet of byte-level vocabularies has one character for each byte
@@ -106,6 +108,41 @@ class LibraryEncoder:
         return flat[np.repeat(begin - (goes - many), many) + np.arange(len(flat))], many
 
 
+class AddedTokens:
+    """Cuts texts at the vocabulary's added tokens, the leftmost and then the longest first.
+
+    With ``encode_special_tokens`` (the library's switch of that name) special ones are
+    ordinary text and only the others cut.
+    """
+
+    def __init__(self, file: str, encode_special_tokens: bool):
+        found = {i: t for i, t in Tokenizer.from_str(file).get_added_tokens_decoder().items()
+                 if not (t.special and encode_special_tokens)}
+        if any(t.lstrip or t.rstrip or t.single_word for t in found.values()):
+            raise ValueError("added tokens that take spaces or stand between words only are not supported")
+        self.ids = {t.content.encode(): i for i, t in found.items()}
+        longest = sorted(self.ids, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
+
+    def __call__(self, texts: Texts) -> tuple[Texts, np.ndarray, np.ndarray]:
+        """The pieces between added tokens, the id after each (a text's last: the end id), and
+        the first piece of each text."""
+        raw = texts.data.tobytes()
+        if self.pattern is None or not self.pattern.search(raw):
+            return texts, np.full(len(texts), END_ID), np.arange(len(texts))
+        pieces, after, first = [], [], []
+        for lo, hi in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist(), strict=True):
+            first.append(len(pieces))
+            for m in self.pattern.finditer(raw, lo, hi):
+                pieces.append(raw[lo:m.start()])
+                after.append(self.ids[m[0]])
+                lo = m.end()
+            pieces.append(raw[lo:hi])
+            after.append(END_ID)
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in pieces])]).astype(np.int64)
+        return Texts(np.frombuffer(b"".join(pieces), np.uint8), offsets), np.array(after), np.array(first)
+
+
 _LOADED: dict[int, WordTable] = {}
 
 
@@ -118,14 +155,18 @@ def _table(file: str) -> WordTable:
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, kind: str = "byte",
-                 chunk_ids: int = CHUNK_IDS) -> None:
-    """Encode every whole text, append the end id, and write the container."""
+                 chunk_ids: int = CHUNK_IDS, encode_special_tokens: bool = True) -> None:
+    """Encode every whole text, append the end id, and write the container.
+
+    ``encode_special_tokens`` is the library's switch: false (the library's own default)
+    gives a special token's string its id, true encodes it as ordinary text.
+    """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         file = spark.sparkContext.broadcast(f.read())  # the vocabulary: under 2 MB
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(file.value)
+        table, added = _table(file.value), AddedTokens(file.value, encode_special_tokens)
         part = TaskContext.get().partitionId()
         rest, begun, first, chunk = [], [], 0, 0  # ids not written yet, documents that begin in them
 
@@ -141,9 +182,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, kind: str = "byte
         for batch in batches:
             at, doc_ids = 0, batch.column(0).to_pylist()
             for block in text_blocks(batch.column(1)):
-                ids, bounds = table.ids(block)
-                ids = np.insert(ids, bounds[1:], END_ID)
-                sizes = np.diff(bounds) + 1
+                pieces, after, of = added(block)
+                ids, bounds = table.ids(pieces)
+                ids = np.insert(ids, bounds[1:], after)
+                sizes = np.add.reduceat(np.diff(bounds) + 1, of)
                 begins = first + sum(map(len, rest)) + np.cumsum(sizes) - sizes
                 begun += zip(doc_ids[at:at + len(block)], begins.tolist(), sizes.tolist(), strict=True)
                 at += len(block)
@@ -231,5 +273,5 @@ def read_ids(spark: SparkSession, folder: str, start: int, n: int) -> np.ndarray
 def token_files(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the container into the shared folder and read every document back from it."""
     folder = scratch_path(docs.sparkSession, "tokens")
-    write_tokens(docs, tokenizer, folder)
+    write_tokens(docs, tokenizer, folder, encode_special_tokens=False)
     return read_tokens(docs.sparkSession, folder)
