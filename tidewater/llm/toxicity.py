@@ -2,7 +2,9 @@
 
 A document is a bag of sentences.  A sentence's probability is a logistic function
 of its hashed one- and two-word grams and word stems; a document's is their
-noisy-or, ``1 - prod(1 - p)``.  Only document labels are given: the gradient of the
+noisy-or, ``1 - prod(1 - p)``, in which sentences below ``OFFENDING`` count together and only
+for what they have beyond an allowance per sentence.  The allowance is learnt from
+clean labelled documents; without it clean text alone would be rejected at some thousand sentences.  Only document labels are given: the gradient of the
 document's log loss reaches each sentence through the noisy-or, and the sentence
 scores then say where the offence is.  A null or empty text has no sentence and
 scores 0.  With no usable label every sentence scores the intercept's prior.
@@ -10,6 +12,9 @@ scores 0.  With no usable label every sentence scores the intercept's prior.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -25,6 +30,7 @@ THRESHOLD = 0.5   # of a document
 OFFENDING = 0.25  # of a sentence reported as offending
 MIN_DOCS = 3      # of a shard, that have a gram before it is learnt from
 PRIOR = -5.0      # log odds of a sentence with no known gram
+MARGIN = 2.0      # allowance, in means of the clean sentences
 
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?\n"]] = True
@@ -91,18 +97,47 @@ def _train(learner: Learner, rows: pd.DataFrame, epochs: int = 1, bits: int = BI
             learner.update(at, w, np.clip(step, -2, 2))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> np.ndarray:
-    """Sentence weights fitted from document labels on a bounded sample not held out."""
-    return fit(labelled_sample(docs, labels, label), _train, alpha=1.0, l1=1.0, l2=0.1)
+def _probabilities(found: Sentences, w: np.ndarray) -> np.ndarray:
+    return _sigmoid(np.bincount(found.owner, weights=w[found.slots], minlength=len(found)) + w[-1] + PRIOR)
+
+
+def _allowance(sample: DataFrame, weights: np.ndarray) -> float:
+    """Log probability of being clean that a sentence may lose: ``MARGIN`` times the mean of the clean
+    sample's sentences below ``OFFENDING``, and what a sentence of unknown words loses at least."""
+    model = sample.sparkSession.sparkContext.broadcast(weights)
+    bits = int(np.log2(len(weights) - 1))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lost, n = 0.0, 0
+        for batch in batches:
+            for texts in text_blocks(batch.column(0)):
+                p = _probabilities(Sentences(texts, bits), model.value)
+                p = p[p < OFFENDING]
+                lost, n = lost - float(np.log1p(-p).sum()), n + len(p)
+        yield pa.RecordBatch.from_pydict({"lost": [lost], "n": [n]})
+
+    parts = sample.where("y = 0").select("text").mapInArrow(sums, "lost double, n bigint").collect()  # one row per task
+    mean = math.fsum(r.lost for r in parts) / max(1, sum(r.n for r in parts))
+    return max(MARGIN * mean, float(-np.log1p(-_sigmoid(weights[-1] + PRIOR))))
+
+
+def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[np.ndarray, float]:
+    """Sentence weights fitted from document labels on a bounded sample not held out, and the
+    allowance of a clean sentence."""
+    sample = labelled_sample(docs, labels, label)
+    weights = fit(sample, _train, alpha=1.0, l1=1.0, l2=0.1)
+    return weights, _allowance(sample, weights)
 
 
-def score_toxicity(docs: DataFrame, weights: np.ndarray, keep: list[str], out: str = "score",
+def score_toxicity(docs: DataFrame, trained: tuple[np.ndarray, float], keep: list[str], out: str = "score",
                    below: float | None = None) -> DataFrame:
     """``keep``, the document's probability and its offending sentences.
 
-    ``<out>_spans`` holds ``start:end`` of each offending sentence, in code points,
+    The document's probability does not grow with sentences that are as clean as the
+    training documents'.  ``<out>_spans`` holds ``start:end`` of each offending sentence, in code points,
     comma-joined.  ``below`` keeps only the rows that score less than it.
     """
+    weights, allowance = trained
     model = docs.sparkSession.sparkContext.broadcast(weights)
     bits = int(np.log2(len(weights) - 1))
 
@@ -111,8 +146,10 @@ def score_toxicity(docs: DataFrame, weights: np.ndarray, keep: list[str], out: s
 
         def score(texts: Texts) -> list:
             found = Sentences(texts, bits)
-            p = _sigmoid(np.bincount(found.owner, weights=w[found.slots], minlength=len(found)) + w[-1] + PRIOR)
-            clean = np.bincount(found.text, weights=np.log1p(-p), minlength=len(texts))
+            p = _probabilities(found, w)
+            lost, low = -np.log1p(-p), p < OFFENDING
+            total = lambda x: np.bincount(found.text, weights=x, minlength=len(texts))
+            clean = -total(lost * ~low) - np.maximum(0, total((lost - allowance) * low))
             at = np.flatnonzero(p >= OFFENDING)
             spans: list[list[str]] = [[] for _ in range(len(texts))]
             if len(at):
