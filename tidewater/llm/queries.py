@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert, lines, merges, mixing, planes, pstable, quality, secret_scan, simhash, toxicity
+from . import (cuckoo, filter_audit, hilbert, lines, merges, mixing, planes, prefix_trie, pstable, quality, secret_scan, simhash,
+               toxicity)
 from .common import read
 
 
@@ -60,6 +61,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(read(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each order of the five filters removes at each step, by source."""
+    return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays, group size and digest of every document's lower-cased text."""
+    return cuckoo.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_token_files, op4_hilbert, op5_line_dedup, op6_toxicity, op7_byte_bpe,
-                                   op8_simhash, op9_pstable, op10_secrets)}
-ORACLES: dict[str, str] = {}
+                                   op8_simhash, op9_pstable, op10_secrets, op11_filter_audit, op12_exact_dedup, op13_prefix_trie)}
+ORACLES: dict[str, str] = {"op11_filter_audit": filter_audit.ORACLE_SQL, "op12_exact_dedup": cuckoo.ORACLE_SQL,
+                           "op13_prefix_trie": prefix_trie.ORACLE_SQL}
