@@ -20,7 +20,28 @@ SELECT event_id, event_type,
        ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY event_id) AS rn
 FROM events"""
 
+_MAPS = """(SELECT event_id, event_type, CAST(user_id AS BIGINT) % 1000 + 1 AS m, event_id % 1000 AS c,
+        row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events)"""
+
+_COMPOSED = f"""WITH RECURSIVE maps AS MATERIALIZED {_MAPS},
+composed AS (
+  SELECT event_id, event_type, m, c, rn FROM maps WHERE rn = 1
+  UNION ALL
+  SELECT e.event_id, e.event_type, p.m * e.m % 1000003 AS m, (p.c * e.m + e.c) % 1000003 AS c, e.rn
+  FROM composed p JOIN maps e ON e.event_type = p.event_type AND e.rn = p.rn + 1)"""
+
+_ARRIVALS = """
+WITH scores AS (SELECT o_custkey AS id, day(o_orderdate) * 10000000 + o_orderkey % 10000000 AS arrival, o_orderkey AS subject FROM orders),
+users AS (SELECT CAST(user_id AS BIGINT) AS id, day(ts) * 10000000 + event_id % 10000000 AS arrival, event_type || '-' || event_id AS name FROM events),
+firsts AS (SELECT id, min(arrival) AS first FROM users GROUP BY id)
+SELECT s.id, u.name, s.subject, s.arrival FROM scores s ASOF JOIN users u ON s.id = u.id AND s.arrival >= u.arrival
+UNION ALL
+SELECT s.id, u.name, s.subject, s.arrival FROM scores s JOIN firsts f ON s.id = f.id AND s.arrival < f.first JOIN users u ON u.id = s.id"""
+
 ORACLES = {
+    "ordered_reduce": f"{_COMPOSED} SELECT event_type, arg_max(m, rn) AS m, arg_max(c, rn) AS c FROM composed GROUP BY event_type",
+    "running_reduce": f"{_COMPOSED} SELECT event_id, event_type, m, c FROM composed",
+    "enrich_in_order": _ARRIVALS,
     "tokenize_words": f"SELECT doc_id, word FROM {_WORDS_TABLE}",
     "word_count": f"SELECT word, COUNT(*) AS cnt FROM {_WORDS_TABLE} GROUP BY word",
     "char_count": "SELECT char, COUNT(*) AS cnt FROM "

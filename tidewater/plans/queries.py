@@ -56,6 +56,26 @@ def keyed_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.keyed_reduce(ev, "event_type", "user_id", lambda a, b: a * b % PRIME)
 
 
+def _maps(spark, sf_dir) -> DataFrame:
+    """Each event as a linear map x -> (m x + c) modulo the prime: composing them depends on their order."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "event_type", "user_id")
+    return ev.select("event_id", "event_type", (F.col("user_id").cast("bigint") % 1000 + 1).alias("m"), (F.col("event_id") % 1000).alias("c"))
+
+
+def _compose(first: tuple, second: tuple) -> tuple:
+    return first[0] * second[0] % PRIME, (first[1] * second[0] + second[1]) % PRIME
+
+
+def ordered_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Composition of all maps of a type in event order: associative, not commutative."""
+    return ops.ordered_reduce(_maps(spark, sf_dir), "event_type", "event_id", ["m", "c"], _compose)
+
+
+def running_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At every event the composition of its type's maps up to it."""
+    return ops.running_reduce(_maps(spark, sf_dir), "event_type", "event_id", ["m", "c"], _compose)
+
+
 def keyed_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", "event_type", "user_id")
     return ops.keyed_reduce(ev, "event_type", "user_id", "sum")
@@ -132,6 +152,22 @@ def broadcast_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.enrich(scores, users, "id").select("id", "name", "subject", "score")
 
 
+def enrich_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders enriched with their customer's latest event by time of arrival.
+
+    The dimension's versions are the events, keyed by ``user_id``; both arrive at their ``ts`` or ``o_orderdate``,
+    taken as the day of the month, so that orders come before, between and after the versions of
+    their customer: early ones wait and are emitted with each later version.
+    """
+    day = lambda c: F.dayofmonth(c).cast("bigint") * 10_000_000
+    scores = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
+        F.col("o_custkey").alias("id"), (day("o_orderdate") + F.col("o_orderkey") % 10_000_000).alias("arrival"), F.col("o_orderkey").alias("subject"))
+    users = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type").select(
+        F.col("user_id").cast("bigint").alias("id"), (day("ts") + F.col("event_id") % 10_000_000).alias("arrival"),
+        F.concat_ws("-", "event_type", "event_id").alias("name"))
+    return ops.enrich_in_order(scores, users, "id", "arrival").select("id", "name", "subject", "arrival")
+
+
 def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", "event_id", "event_type", "user_id")
     return ops.latest_by_key(ev, "event_type", "event_id", "user_id")
@@ -217,6 +253,9 @@ QUERIES = {
     "char_count": char_count,
     "filter_word_count": filter_word_count,
     "keyed_reduce": keyed_reduce,
+    "ordered_reduce": ordered_reduce,
+    "running_reduce": running_reduce,
+    "enrich_in_order": enrich_in_order,
     "keyed_sum": keyed_sum,
     "connect_map": connect_map,
     "side_output": side_output,
