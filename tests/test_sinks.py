@@ -98,3 +98,87 @@ def test_second_stream_query_may_not_share_a_folder(spark, tmp_dir):
     with pytest.raises(ValueError):
         rolling_text_stream(df, f"{tmp_dir}/out", f"{tmp_dir}/ckpt2", bucket_time="ts", trigger=None)
     assert read_buckets(spark, f"{tmp_dir}/out").count() == 3
+
+
+ORDERS = "id string, userId int, money int, createTime bigint"
+
+
+@pytest.mark.parametrize("broken", [0, 1, 2])
+def test_stream_insert_killed_between_its_writes(spark, monkeypatch, broken):
+    """A failure before, between or after the copy of the rows and the marker leaves neither; the replay adds each row once."""
+    from tidewater.sinks import jdbc
+    url = default_url(f"t{uuid.uuid4().hex[:8]}")
+    write = jdbc_stream_writer(url, "T_ORDER", marker_table="T_DONE", millis_to_timestamp=("createTime",))
+    batches = [from_data(spark, [(f"A{b}{i}", i, b, 1_700_000_000_000) for i in range(50)], ORDERS).repartition(3) for b in range(2)]
+    write(batches[0], 0)
+    run = jdbc.run_in_transaction
+
+    def killed(spark, url, statements, props=None):
+        if len(statements) == 3:  # the publishing transaction
+            statements = [*statements[:broken], "INSERT INTO NOWHERE VALUES (1)", *statements[broken:]]
+        run(spark, url, statements, props)
+
+    monkeypatch.setattr(jdbc, "run_in_transaction", killed)
+    with pytest.raises(Exception, match="NOWHERE"):
+        write(batches[1], 1)
+    assert read_jdbc(spark, url, "T_ORDER").count() == 50 and read_jdbc(spark, url, "T_DONE").count() == 1
+    monkeypatch.undo()
+    for batch_id in (1, 1, 0):  # the replay, and batches that are done
+        write(batches[batch_id], batch_id)
+    rows = read_jdbc(spark, url, "T_ORDER")
+    assert rows.count() == rows.select("id").distinct().count() == 100
+    assert read_jdbc(spark, url, "T_ORDER_STAGE").count() == 0
+
+
+def test_stage_rows_written_twice_by_a_lost_task_count_once(spark, monkeypatch):
+    from tidewater.sinks import jdbc
+    url, insert = default_url(f"t{uuid.uuid4().hex[:8]}"), jdbc.jdbc_insert
+
+    def twice(df, url, table, **kw):
+        insert(df, url, table, **kw)
+        insert(df.where("TW_ROW % 2 = 0").withColumn("TW_TRY", F.col("TW_TRY") + 1), url, table, **kw)
+
+    monkeypatch.setattr(jdbc, "jdbc_insert", twice)
+    jdbc_stream_writer(url, "T_ORDER", marker_table="T_DONE")(from_data(spark, [(f"A{i}", i, i, 0) for i in range(9)], ORDERS), 0)
+    assert sorted(r.userId for r in read_jdbc(spark, url, "T_ORDER").collect()) == list(range(9))
+
+
+def test_jdbc_upsert_over_batches_and_replays(spark):
+    from tidewater.sinks import jdbc_upsert_writer
+    url = default_url(f"t{uuid.uuid4().hex[:8]}")
+    write = jdbc_upsert_writer(url, "T_WORDS", "word", "cnt", order="seq", column_types="word VARCHAR(100)")
+    batches = [[(0, "a", 1), (1, "b", 1), (2, "a", 2)], [(3, "c", 1), (4, "a", 3)], []]
+    for batch_id in (0, 0, 1, 1, 2):
+        write(from_data(spark, batches[batch_id], "seq int, word string, cnt int"), batch_id)
+    assert sorted((r.word, r.cnt) for r in read_jdbc(spark, url, "T_WORDS").collect()) == [("a", 3), ("b", 1), ("c", 1)]
+
+
+def test_rolled_files_keep_the_limit(spark, tmp_dir):
+    from tidewater.sinks.rolling_file import read_rolled, write_rolled_text
+    rows = [(f"{i}" * (i % 9 + 1), 0 if i % 3 else i * 1800) for i in range(2000)] + [("é" * 300, 0), ("x" * 301, 0), ("", 0), (None, 7200)]
+    df = from_data(spark, rows, "value string, s int").select("value", F.timestamp_seconds("s").alias("ts")).repartition(5)
+    write_rolled_text(df, f"{tmp_dir}/o", bucket_time="ts", max_bytes=500, parts=6)
+    sizes, long = [], 0
+    for folder, _, names in os.walk(f"{tmp_dir}/o"):
+        parts = [n for n in names if n.endswith(".txt")]
+        assert len(parts) <= 1  # one file a folder
+        for n in parts:
+            size = os.path.getsize(f"{folder}/{n}")
+            if size > 500:
+                assert "file=-" in folder and len(open(f"{folder}/{n}").read().splitlines()) == 1
+                long += 1
+            else:
+                sizes.append(size)
+    assert long == 1 and max(sizes) > 400
+    got = read_rolled(spark, f"{tmp_dir}/o")
+    assert sorted(r.value for r in got.collect()) == sorted(v or "" for v, _ in rows)
+    write_rolled_text(df.limit(0), f"{tmp_dir}/none", bucket_time="ts")
+    assert read_rolled(spark, f"{tmp_dir}/none").count() == 0
+
+
+def test_fan_out_in_one_pass(spark, tmp_dir):
+    from tidewater import operators as ops
+    df = from_data(spark, [(1, "a"), (2, "b"), (3, None), (None, "d")], "n int, s string")
+    out = ops.fan_out_files(df, {"all": F.lit(True), "small": F.col("n") < 3, "none": F.lit(False)}, f"{tmp_dir}/o")
+    assert {k: sorted((r.n or 0, r.s or "") for r in v.collect()) for k, v in out.items()} == {
+        "all": [(0, "d"), (1, "a"), (2, "b"), (3, "")], "small": [(1, "a"), (2, "b")], "none": []}

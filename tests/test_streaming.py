@@ -366,3 +366,70 @@ def test_split_running_batches_replay_is_idempotent(spark, tmp_dir):
 def from_rows(spark, rows):
     from tidewater.sources import from_data
     return from_data(spark, rows, "seq bigint, name string, score bigint")
+
+
+def test_clock_windows_hold_each_row_once(spark, tmp_dir):
+    """Rows of several batches over several windows: bounds on the grid, sums equal, nothing left in the state."""
+    from tidewater.streaming import drain_timers
+    rows = [{"word": w, "n": i} for i, w in enumerate("a b a hot hot hot c".split() * 20)] + [{"word": None, "n": 1}]
+    for k in range(0, len(rows), 30):
+        put(f"{tmp_dir}/in", rows[k:k + 30])
+    df = spark.readStream.schema("word string, n int").option("maxFilesPerTrigger", 1).json(f"{tmp_dir}/in")
+    out = drain_timers(processing_time_window_counts(df, "word", 1000, "n", out="total"), "clock", every="300 milliseconds")
+    got = out.collect()
+    want = {}
+    for r in rows:
+        want[r["word"]] = want.get(r["word"], 0) + r["n"]
+    total = {}
+    for r in got:
+        total[r.word] = total.get(r.word, 0) + r.total
+        assert r.window_start.microsecond == 0
+    assert total == want
+    assert len({(r.word, r.window_start) for r in got}) == len(got)
+
+
+def test_enrich_buffer_expires(spark, tmp_dir):
+    """A record that waits longer than the time to live leaves the state; a later one is released."""
+    os.makedirs(f"{tmp_dir}/u")
+    os.makedirs(f"{tmp_dir}/s")
+    u = spark.readStream.schema("id int, name string").json(f"{tmp_dir}/u")
+    s = spark.readStream.schema("id int, subject string").json(f"{tmp_dir}/s")
+    joined = stream_enrich(s, u, "id", ["subject"], ["name"], salts=1, buffer_ttl_ms=20_000)
+    q = joined.writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/c").trigger(processingTime="200 milliseconds").start(f"{tmp_dir}/o")
+
+    def batch(folder, rows):
+        """Put rows and wait until a batch has read them."""
+        seen = sum(p["numInputRows"] for p in q.recentProgress)
+        put(folder, rows)
+        end = time.time() + 120
+        while sum(p["numInputRows"] for p in q.recentProgress) <= seen and time.time() < end and q.isActive:
+            time.sleep(0.2)
+
+    try:
+        batch(f"{tmp_dir}/s", [{"id": 1, "subject": "orphan"}])
+        time.sleep(25)
+        batch(f"{tmp_dir}/s", [{"id": 1, "subject": "later"}, {"id": 2, "subject": "x"}])
+        batch(f"{tmp_dir}/u", [{"id": 1, "name": "Ada"}, {"id": 2, "name": "Ben"}])
+        got = _wait_rows(spark, "id int, name string, subject string", f"{tmp_dir}/o", 2)
+    finally:
+        q.stop()
+    assert sorted(map(tuple, got)) == [(1, "Ada", "later"), (2, "Ben", "x")]
+
+
+def test_enrich_values_come_back_exactly(spark, tmp_dir):
+    """Types, nulls, microseconds, big integers and newlines of buffered records and of values."""
+    import datetime
+    rec = [(1, 2**53 + 1, None, 0.1, "a\nb \"\\", datetime.datetime(2024, 1, 1, 1, 2, 3, 456789), True),
+           (1, None, 7, float("nan"), None, None, None), (2, -5, 1, float("inf"), "", datetime.datetime(1969, 1, 1), False)]
+    schema = "id int, big bigint, small smallint, x double, s string, t timestamp, b boolean"
+    spark.createDataFrame(rec, schema).write.parquet(f"{tmp_dir}/r")
+    spark.createDataFrame([(1, 2**60 + 1, None), (2, None, "n")], "id int, v bigint, n string").write.parquet(f"{tmp_dir}/d1")
+    os.makedirs(f"{tmp_dir}/d")
+    r = spark.readStream.schema(schema).parquet(f"{tmp_dir}/r")
+    for step in range(2):
+        d = spark.readStream.schema("id int, v bigint, n string").parquet(f"{tmp_dir}/d")
+        out = drain(stream_enrich(r, d, "id", ["big", "small", "x", "s", "t", "b"], ["v", "n"], salts=3, buckets=2), "exact", "append", path=f"{tmp_dir}/o")
+        for name in os.listdir(f"{tmp_dir}/d1") if step == 0 else ():
+            os.link(f"{tmp_dir}/d1/{name}", f"{tmp_dir}/d/{name}")
+    want = [(i, *dict([(1, (2**60 + 1, None)), (2, (None, "n"))])[i], *rest) for i, *rest in rec]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want))

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 
@@ -102,3 +102,16 @@ def fan_out(df: DataFrame, *consumers: Callable[[DataFrame], None]) -> None:
             c(df)
     finally:
         df.unpersist()
+
+
+def fan_out_files(df: DataFrame, outputs: Mapping[str, Column], path: str) -> dict[str, DataFrame]:
+    """Write every row to each output whose condition holds, in one pass over ``df``.
+
+    Nothing is kept in memory or computed twice: a row is repeated once per output it goes to, and
+    the writer deals the rows to a folder per output under ``path``.  Returns the outputs, read back.
+    """
+    spark, name = df.sparkSession, "tw_output"
+    goes = F.array_compact(F.array(*[F.when(when, F.lit(to)) for to, when in outputs.items()]))
+    df.select("*", F.explode(goes).alias(name)).write.partitionBy(name).parquet(path)
+    every = spark.read.schema(StructType([*df.schema, StructField(name, StringType())])).parquet(path)
+    return {to: every.where(F.col(name) == to).drop(name) for to in outputs}

@@ -33,7 +33,7 @@ from tidewater.functions.util import as_col
 from tidewater.session import scratch_path
 
 
-def _add(a: Column, b: Column) -> Column:
+def add_sums(a: Column, b: Column) -> Column:
     """SQL-sum addition: null only when both sides are."""
     return F.when(b.isNull(), a).when(a.isNull(), b).otherwise(a + b)
 
@@ -85,9 +85,9 @@ def running_sums(df: DataFrame, key, order, values: Mapping[str, object], *, par
 
     out = []
     for name in vals:
-        out.append(_add(F.col(f"__l_{name}"), F.col(f"__o_{name}")).alias(name))
+        out.append(add_sums(F.col(f"__l_{name}"), F.col(f"__o_{name}")).alias(name))
         if before_suffix is not None:
-            out.append(_add(F.col(f"__p_{name}"), F.col(f"__o_{name}")).alias(name + before_suffix))
+            out.append(add_sums(F.col(f"__p_{name}"), F.col(f"__o_{name}")).alias(name + before_suffix))
     if count_before is not None:
         out.append((F.col("__p_n") + F.coalesce(F.col("__o_n"), F.lit(0))).alias(count_before))
     made = set(vals) | ({n + before_suffix for n in vals} if before_suffix is not None else set())

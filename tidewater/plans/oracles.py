@@ -87,7 +87,12 @@ WHERE rn > 1 AND p IS DISTINCT FROM s""",
                        "CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 8, 7))::BIGINT % 1000 AS INTEGER) "
                        "AS money FROM orders",
     "decode_value": "SELECT doc_id, text FROM documents",
-    "upsert_latest": "SELECT event_type, CAST(SUM(user_id) AS BIGINT) AS total FROM events GROUP BY event_type",
+    "upsert_latest": f"SELECT word, COUNT(*) AS cnt FROM {_WORDS_TABLE} GROUP BY word",
+    "fan_out": "SELECT event_id, event_type, 'all' AS output FROM events UNION ALL "
+               "SELECT event_id, event_type, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS output FROM events",
+    "file_sink_rolled": "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, COUNT(*) AS lines, "
+                        "CAST(SUM(strlen(CAST(event_id AS VARCHAR) || ',' || event_type) + 1) AS BIGINT) AS bytes, 0::BIGINT AS files_too_large "
+                        "FROM events GROUP BY 1",
     "word_one_sum": f"SELECT word, COUNT(*) AS cnt FROM {_WORDS_TABLE} GROUP BY word",
     "rich_map": "SELECT 'Long->String:' || CAST(event_id AS VARCHAR) AS value FROM events",
     "file_sink_roundtrip": "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, "

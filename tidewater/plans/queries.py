@@ -186,12 +186,35 @@ def decode_value_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-record running totals, collapsed to the value a keyed upsert store
-    (``HSET name key total``) ends with."""
+    """Per-record running word totals, collapsed to the value a keyed upsert
+    store (``HSET WordCount word total``) ends with."""
     from tidewater.sinks.upsert import collapse_latest
-    ev = read_table(spark, sf_dir, "events", "event_id", "event_type", "user_id")
-    running = ops.running_sum(ev, "event_type", "event_id", "user_id", out="total")
-    return collapse_latest(running, "event_type", "event_id", "total")
+    w = _words(spark, sf_dir, position=True).withColumn("one", F.lit(1))
+    running = ops.running_sum(w, "word", ["doc_id", "pos"], "one", out="cnt")
+    return collapse_latest(running, "word", ["doc_id", "pos"], "cnt")
+
+
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read once and written to three outputs: all of them, and those with even and odd ids."""
+    from tidewater.session import scratch_path
+    ev = read_table(spark, sf_dir, "events", "event_id", "event_type")
+    even = F.col("event_id") % 2 == 0
+    outputs = ops.fan_out_files(ev, {"all": F.lit(True), "even": even, "odd": ~even}, scratch_path(spark, "fan-out"))
+    return ops.union_all(*[df.withColumn("output", F.lit(name)) for name, df in outputs.items()])
+
+
+def file_sink_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as text lines in hourly folders, rolled at 128 bytes so that the small tables roll too; read back
+    with the size of each file."""
+    from tidewater.session import scratch_path
+    from tidewater.sinks.rolling_file import read_rolled, write_rolled_text
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type")
+    lines = ev.select(F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"), "ts")
+    path = scratch_path(spark, "file-sink-rolled")
+    write_rolled_text(lines, path, bucket_time="ts", max_bytes=128)
+    files = read_rolled(spark, path).groupBy("bucket", "file").agg(F.sum(F.octet_length("value") + 1).alias("size"), F.count("*").alias("n"))
+    return files.groupBy("bucket").agg(F.sum("n").alias("lines"), F.sum("size").alias("bytes"),
+                                       F.count_if(F.col("size") > 128).alias("files_too_large"))
 
 
 def file_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,6 +296,8 @@ QUERIES = {
     "generate_orders": generate_orders_q,
     "decode_value": decode_value_q,
     "upsert_latest": upsert_latest,
+    "fan_out": fan_out,
+    "file_sink_rolled": file_sink_rolled,
     "file_sink_roundtrip": file_sink_roundtrip,
     "file_sink_clustered": file_sink_clustered,
     "word_one_sum": word_one_sum,

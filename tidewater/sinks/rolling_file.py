@@ -4,8 +4,8 @@ Rows are written by the executors with Spark's text writer, one folder per
 bucket ``yyyy-MM-dd--HH`` (``bucket=<value>``), and the job commit makes
 the files visible atomically.  The reference rolls a part file by age,
 idleness and size; here files close at the end of each job or micro-batch
-(so the trigger interval bounds age and idleness) and ``max_records_per_file``
-bounds size.  Spark chooses the part-file names.
+(so the trigger interval bounds age and idleness); ``max_records_per_file``
+bounds a file's lines, ``write_rolled_text`` its bytes.  Spark chooses the part-file names.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.running import running_sums
+
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 BUCKET = "bucket"
 
@@ -46,6 +48,32 @@ def write_rolling_text(df: DataFrame, path: str, value: str = "value",
         .partitionBy(BUCKET).text(path))
 
 
+MAX_BYTES = 1 << 30  # the reference's part size
+FILE = "file"
+
+
+def write_rolled_text(df: DataFrame, path: str, value: str = "value", bucket_time: str | None = None,
+                      max_bytes: int = MAX_BYTES, mode: str = "append", parts: int | None = None) -> None:
+    """Write ``value`` as UTF-8 lines under ``path/bucket=.../file=.../``, no file over ``max_bytes``.
+
+    A line's file is the running sum of its bucket's bytes before it, divided by the limit less the longest
+    line, so no file can run over; the sums are taken over ranges, which shares a large bucket among
+    tasks.  Lines of more than half the limit get files of their own (numbered from -1 down), the only ones that may exceed it.
+    A folder holds one file, written by one task; the job's commit makes all of them visible.
+    """
+    size = F.octet_length("value").cast("bigint") + 1
+    lines = bucketed(df, value, bucket_time).withColumn("tw_size", F.coalesce(size, F.lit(1).cast("bigint")))
+    short = F.col("tw_size") * 2 <= max_bytes
+    longest = lines.where(short).agg(F.max("tw_size")).first()[0] or 1
+    small = F.when(short, F.col("tw_size")).otherwise(0)
+    large = F.when(short, 0).otherwise(1)
+    summed = running_sums(lines, BUCKET, [], {"tw_sum": small, "tw_large": large}, parts=parts)
+    before = F.coalesce("tw_sum_before", F.lit(0))
+    number = F.when(short, F.floor(before / (max_bytes - longest + 1))).otherwise(-F.col("tw_large"))
+    files = summed.select("value", BUCKET, number.cast("bigint").alias(FILE))
+    files.repartition(BUCKET, FILE).write.mode(mode).partitionBy(BUCKET, FILE).text(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
@@ -73,3 +101,10 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     """Read the lines back with their bucket (kept as a string)."""
     return spark.read.schema(f"value string, {BUCKET} string").text(path)
 
+
+def read_rolled(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of ``write_rolled_text`` with their bucket and file number."""
+    # as text: a folder without files has no partition columns, and lines are the only others the reader takes
+    lines = spark.read.schema(f"value string, {BUCKET} string, {FILE} string").text(path)
+    return lines.withColumn(FILE, F.col(FILE).cast("bigint"))
+

@@ -1,19 +1,15 @@
-"""Per-record running sums and changelogs on a stream, split for hot keys.
+"""Per-record running sums and changelogs on a stream, each micro-batch as a batch job.
 
-``stream_running_sum`` / ``stream_changelog`` keep state per key in the
-state store, so one key's rows of a micro-batch go to one task.  This form
-runs every micro-batch through the batch algorithm instead
-(``operators.running_sums``: ranges of key and order) and
-carries each key's total and row count from batch to batch in a table in the
-shared folder.
+``stream_running_sum`` / ``stream_changelog`` keep totals per key in the state
+store, so one key's rows of a micro-batch go to one task.  This form runs every
+micro-batch through ``operators.running_sums`` instead, whose ranges of key and order
+share a heavy key among tasks.
 
-The totals live in two slots, ``slot=0`` and ``slot=1``: batch ``i`` reads
-the slot batch ``i-1`` wrote and writes the other one, so a replayed batch
-reads the same previous totals and overwrites its own outputs (output
-folder ``batch=<i>`` and its slot): replays are idempotent.  Each batch
-rewrites the totals of all keys seen so far, which suits key sets that are
-small next to the batches; for many keys and small batches the state-store
-form is cheaper.  Records of a key must arrive in ``order`` across batches.
+A batch also writes what it adds per key to ``totals/batch=<id>``; what a key had before a
+batch is the sum of that table's earlier batches over the batch's keys.  A replayed batch reads the same
+earlier folders and overwrites its own two, so replays are idempotent.  The table grows by
+the keys of each batch: the form suits few, large batches.  Records of a key must arrive in
+``order`` across batches.
 """
 
 from __future__ import annotations
@@ -23,76 +19,46 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.rows import row_kind_rows
-from tidewater.operators.running import running_sums
+from tidewater.operators.running import add_sums, running_sums
 
-BATCH = "tw_batch"
-TOTAL, ROWS = "tw_total", "tw_rows"
+BATCH = "batch"
+KEY, TOTAL, ROWS = "tw_key", "tw_total", "tw_rows"
 
 
-def _add(a, b):
-    return F.when(b.isNull(), a).when(a.isNull(), b).otherwise(a + b)
-
-
-def _previous(spark, state: str, batch_id: int):
-    if batch_id == 0:
-        return None
-    # a batch after the first has totals: an error reading them must not mean zero
-    prev = spark.read.parquet(f"{state}/slot={(batch_id - 1) % 2}")
-    found = prev.select(F.max(BATCH)).first()[0]
-    if found is None:  # no row yet
-        return None
-    if found != batch_id - 1:
-        raise RuntimeError(f"state slot holds batch {found}, expected {batch_id - 1}")
-    return prev.drop(BATCH)
-
-
-def running_batches(key: str, order: str, value: str, out: str, output: str, state: str,
+def running_batches(key: str, order: str, value: str, out: str, output: str, totals: str,
                     emit: str = "changelog", **ranges):
-    """``foreachBatch`` function writing each batch's running sums
-    (``emit='running'``) or changelog rows to ``output/batch=<id>``."""
+    """``foreachBatch`` function writing each batch's running sums (``emit='running'``) or changelog
+    rows to ``output/batch=<id>``, and its totals per key to ``totals/batch=<id>``."""
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select(key, order, value).persist()
-        try:
-            prev = _previous(spark, state, batch_id)
-            r = running_sums(batch, key, order, {out: value}, count_before="tw_seen", **ranges)
-            if prev is not None:
-                # a hot key on the left is split by adaptive skew-join handling
-                of = prev.withColumnRenamed(key, "tw_key")
-                r = r.join(of, F.col(key).eqNullSafe(F.col("tw_key")), "left")
-                r = (r.withColumn(out, _add(F.col(out), F.col(TOTAL)))
-                      .withColumn(out + "_before", _add(F.col(out + "_before"), F.col(TOTAL)))
-                      .withColumn("tw_seen", F.col("tw_seen") + F.coalesce(F.col(ROWS), F.lit(0))))
-            if emit == "running":
-                rows = r.select(order, key, out)
-            else:
-                rows = (r.select(order, key, F.explode(row_kind_rows(
-                            F.col("tw_seen") == 0, F.col(out + "_before"), F.col(out))).alias("r"))
-                        .select(order, F.col("r.pos").alias("pos"), F.col("r.op").alias("op"), key,
-                                F.col("r.v").alias(out)))
-            rows.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-
-            totals = batch.groupBy(key).agg(F.sum(value).alias("b_total"), F.count(F.lit(1)).alias("b_rows"))
-            if prev is not None:
-                of = prev.withColumn("tw_known", F.lit(True)).withColumnRenamed(key, "tw_key")
-                totals = totals.withColumn("tw_new", F.lit(True)).join(of, F.col(key).eqNullSafe(F.col("tw_key")), "full")
-                new = totals.select(F.when(F.col("tw_new"), F.col(key)).otherwise(F.col("tw_key")).alias(key), _add(F.col(TOTAL), F.col("b_total")).alias(TOTAL),
-                                    (F.coalesce(F.col(ROWS), F.lit(0))
-                                     + F.coalesce(F.col("b_rows"), F.lit(0))).alias(ROWS))
-            else:
-                new = totals.select(key, F.col("b_total").alias(TOTAL), F.col("b_rows").alias(ROWS))
-            (new.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
-                .parquet(f"{state}/slot={batch_id % 2}"))
-        finally:
-            batch.unpersist()
+        batch = batch.select(key, order, value)
+        own = batch.groupBy(F.col(key).alias(KEY)).agg(F.sum(value).alias(TOTAL), F.count(F.lit(1)).alias(ROWS))
+        own.write.mode("overwrite").parquet(f"{totals}/{BATCH}={batch_id}")
+        rows = running_sums(batch, key, order, {out: value}, count_before="tw_seen", **ranges)
+        if batch_id > 0:
+            held = spark.read.parquet(totals)
+            touched = held.where(F.col(BATCH) == batch_id).select(F.col(KEY).alias("tw_now"))
+            before = held.where(F.col(BATCH) < batch_id).join(touched, F.col(KEY).eqNullSafe(F.col("tw_now")), "left_semi")
+            before = before.groupBy(KEY).agg(F.sum(TOTAL).alias(TOTAL), F.sum(ROWS).alias(ROWS))
+            # a hot key on the left is split by adaptive skew-join handling
+            rows = rows.join(before, F.col(key).eqNullSafe(F.col(KEY)), "left").select(
+                order, key, add_sums(F.col(out), F.col(TOTAL)).alias(out), add_sums(F.col(out + "_before"), F.col(TOTAL)).alias(out + "_before"),
+                (F.col("tw_seen") + F.coalesce(F.col(ROWS), F.lit(0))).alias("tw_seen"))
+        if emit == "running":
+            made = rows.select(order, key, out)
+        else:
+            kinds = row_kind_rows(F.col("tw_seen") == 0, F.col(out + "_before"), F.col(out))
+            made = rows.select(order, key, F.explode(kinds).alias("r")).select(
+                order, F.col("r.pos").alias("pos"), F.col("r.op").alias("op"), key, F.col("r.v").alias(out))
+        made.write.mode("overwrite").parquet(f"{output}/{BATCH}={batch_id}")
     return each
 
 
 def stream_running_batches(df: DataFrame, key: str, order: str, value: str, out: str,
                            path: str, checkpoint: str, emit: str = "changelog",
                            trigger: dict | None = None, **ranges) -> StreamingQuery:
-    """Start the query; results land in ``path/data``, totals in ``path/state``."""
-    fn = running_batches(key, order, value, out, f"{path}/data", f"{path}/state", emit, **ranges)
+    """Start the query; results land in ``path/data``, totals in ``path/totals``."""
+    fn = running_batches(key, order, value, out, f"{path}/data", f"{path}/totals", emit, **ranges)
     w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn)
     if trigger:
         w = w.trigger(**trigger)

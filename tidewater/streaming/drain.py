@@ -8,6 +8,8 @@ resumes from its offsets and state.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,3 +73,34 @@ def drain(df: DataFrame, name: str, output_mode: str = "append", *, keys=None,
         else:
             out = out.drop(BATCH)
     return out.select(*schema.names)
+
+
+def drain_timers(df: DataFrame, name: str, *, path: str | None = None, checkpoint: str | None = None,
+                 every: str = "1 second", timeout_s: float = 600) -> DataFrame:
+    """Run a query that fires on the clock until its input is used up and its state is empty.
+
+    ``availableNow`` would stop before the last timers are due, so the query runs with a
+    processing-time trigger and is stopped after a batch that read nothing and left no row
+    in any state store: every window has been emitted and dropped.  A restart with the same
+    ``path`` goes on from the checkpoint.
+    """
+    spark = df.sparkSession
+    data, ckpt = _paths(spark, name, path, checkpoint)
+    q = (df.writeStream.option("checkpointLocation", ckpt).trigger(processingTime=every)
+         .outputMode("append").format("parquet").start(data))
+    end = time.monotonic() + timeout_s
+    try:
+        while True:
+            if q.exception():
+                raise q.exception()
+            if not q.isActive:
+                raise RuntimeError(f"stream {name} was stopped")
+            last = q.lastProgress
+            if last and last["numInputRows"] == 0 and all(s["numRowsTotal"] == 0 for s in last["stateOperators"]):
+                break
+            if time.monotonic() > end:
+                raise TimeoutError(f"stream {name} still held state after {timeout_s}s")
+            time.sleep(0.2)
+    finally:
+        q.stop()
+    return spark.read.schema(df.schema).parquet(data)

@@ -22,6 +22,7 @@ from tidewater.functions.rows import INSERT, UPDATE_AFTER, UPDATE_BEFORE
 
 SIDE = "tw_side"  # a leading "__" is renamed on the way into Python
 DIMENSION, RECORD = 0, 1
+DIM, REC = "tw_dim", "tw_rec"
 MISSING = "tw_missing"  # marks rows whose value is null
 
 
@@ -56,12 +57,6 @@ def _coerce(v, dtype):
     return v
 
 
-def _tuples(pdf: pd.DataFrame, schema: StructType) -> list[tuple]:
-    cols = [pdf[f.name].tolist() for f in schema.fields]
-    types = [f.dataType for f in schema.fields]
-    return [tuple(_coerce(v, t) for v, t in zip(row, types)) for row in zip(*cols)]
-
-
 def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
     if len(frames) == 1:
@@ -76,69 +71,112 @@ def _nullable(values: np.ndarray, present: np.ndarray, kind: str):
 
 
 class EnrichProcessor(StatefulProcessor):
-    """Keyed records enriched from a dimension stream (one key = one id).
-
-    A dimension row replaces the key's value (last write wins) and releases
-    every buffered record under the new value; a record is emitted at once
-    when the key has a value, else buffered.  As in the reference, released
-    records stay buffered and are emitted again if the key's value is sent
-    again; ``clear_buffer=True`` drops them after release instead.
-    Within a micro-batch dimension rows are applied first, in ``order``.
+    """Records of one bucket of ids enriched from a dimension stream.
+
+    A dimension row replaces its id's value (last write wins) and releases the id's
+    waiting records under the new value; a record is emitted at once when its
+    id has a value, else it waits.  As in the reference, released records stay and are
+    emitted again if the id's value is sent again; ``clear_buffer=True`` drops them after
+    release.  Within a micro-batch dimension rows are applied first, in ``order``.
+
+    A call handles all of a micro-batch's rows of a bucket: state is touched once per id,
+    rows are moved as whole columns.  Values and records are opaque JSON texts here.  Waiting records are
+    kept as chunks of lines under (id, chunk number), so that adding to a long list does not
+    rewrite it.  ``ttl_ms`` lets chunks expire that long after they were written.
     """
 
-    def __init__(self, key: str, dim_schema: StructType, rec_schema: StructType,
-                 order: str | None = None, clear_buffer: bool = False):
-        self.key, self.order, self.clear_buffer = key, order, clear_buffer
-        self.dim_schema, self.rec_schema = dim_schema, rec_schema
-        self.dim_cols, self.rec_cols = dim_schema.names, rec_schema.names
+    CHUNK = 1 << 16  # characters a chunk grows to
+    ROWS = 1 << 16   # rows of an output frame
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("dimension", self.dim_schema)
-        self.buffer = handle.getListState("buffer", self.rec_schema)
+    def __init__(self, key: str, order: str | None = None, clear_buffer: bool = False, ttl_ms: int | None = None):
+        self.key, self.order, self.clear_buffer, self.ttl = key, order, clear_buffer, ttl_ms
 
-    def _out(self, key, dim: tuple, recs: list[tuple]) -> pd.DataFrame:
-        data = {self.key: [key] * len(recs)}
-        for i, c in enumerate(self.dim_cols):
-            data[c] = [dim[i]] * len(recs)
-        for i, c in enumerate(self.rec_cols):
-            data[c] = [r[i] for r in recs]
-        return pd.DataFrame(data)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        text, number = StructType([StructField("v", StringType())]), StructType([StructField("n", LongType())])
+        by_id = StructType([StructField("id", StringType())])
+        by_chunk = StructType([StructField("id", StringType()), StructField("chunk", LongType())])
+        self.values = handle.getMapState("dimension", by_id, text)
+        self.chunks = handle.getMapState("chunks", by_id, number, self.ttl)
+        self.waiting = handle.getMapState("waiting", by_chunk, text, self.ttl)
+        self.held = handle.getValueState("held", number)  # ids that ever waited: none, no look-up
+
+    def _lines(self, k: str) -> list[str]:
+        """The waiting records of an id, whose chunks are dropped where the buffer is cleared."""
+        found, lines = self.chunks.getValue((k,)), []
+        for i in range(found[0] if found else 0):
+            chunk = self.waiting.getValue((k, i))
+            if chunk is not None:  # else expired
+                lines += chunk[0].split("\n")
+                if self.clear_buffer:
+                    self.waiting.removeKey((k, i))
+        if found and self.clear_buffer:
+            self.chunks.removeKey((k,))
+        return lines
+
+    def _wait(self, k: str, lines: list[str]) -> bool:
+        """Add records of an id without a value; True if it had none waiting."""
+        found = self.chunks.getValue((k,))
+        n = found[0] if found else 0
+        text = "\n".join(lines)
+        if n and self.ttl is None:
+            last = self.waiting.getValue((k, n - 1))
+            if len(last[0]) < self.CHUNK:
+                n, text = n - 1, last[0] + "\n" + text
+        self.waiting.updateValue((k, n), (text,))
+        self.chunks.updateValue((k,), (n + 1,))
+        return not found
+
+    def _frames(self, ids, values, records) -> Iterator[pd.DataFrame]:
+        for at in range(0, len(ids), self.ROWS):
+            part = slice(at, at + self.ROWS)
+            yield pd.DataFrame({self.key: ids[part], DIM: values[part], REC: records[part]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        k = _py(key[0])
         pdf = _rows(rows)
         if pdf.empty:
             return
-        dim = None
-        side = pdf[SIDE].to_numpy()
-        is_dim = side == DIMENSION
-        n_dims = int(is_dim.sum())
-        dims = pdf[is_dim] if 0 < n_dims < len(pdf) else (pdf if n_dims else None)
-        if dims is not None:
+        is_dim = pdf[SIDE].to_numpy() == DIMENSION
+        held = self.held.get()
+        held, now = (held[0] if held else 0), {}
+        if is_dim.any():
+            dims = pdf[is_dim]
             if self.order:
                 dims = dims.sort_values(self.order, kind="stable")
-            waiting = list(self.buffer.get())  # an absent list yields nothing: one round trip
-            for dim in _tuples(dims, self.dim_schema):
-                if waiting:
-                    yield self._out(k, dim, waiting)
-            self.value.update(dim)  # last write wins
-            if waiting and self.clear_buffer:
-                self.buffer.clear()
-        if n_dims == len(pdf):
+            ids, texts = dims[self.key].tolist(), dims[DIM].tolist()
+            versions: dict[str, list[str]] = {}
+            for k, v in zip(ids, texts, strict=True):
+                versions.setdefault(k, []).append(v)
+            out: tuple[list, list, list] = ([], [], [])
+            for k, of in versions.items():
+                lines = self._lines(k) if held else []
+                for v in (of[:1] if self.clear_buffer else of) if lines else ():
+                    out[0].extend([k] * len(lines))
+                    out[1].extend([v] * len(lines))
+                    out[2].extend(lines)
+                now[k] = of[-1]
+                self.values.updateValue((k,), (of[-1],))
+                if len(out[0]) >= self.ROWS:
+                    yield from self._frames(*out)
+                    out = ([], [], [])
+            yield from self._frames(*out)
+        if is_dim.all():
             return
-        recs = pdf[~is_dim] if n_dims else pdf
-        if dim is None:
-            dim = self.value.get()
-        if dim is not None:
-            n = len(recs)
-            data = {self.key: np.full(n, k, dtype=object) if isinstance(k, str) else np.full(n, k)}
-            for i, c in enumerate(self.dim_cols):
-                data[c] = [dim[i]] * n
-            for c in self.rec_cols:
-                data[c] = recs[c].to_numpy()
-            yield pd.DataFrame(data)
-        else:
-            self.buffer.appendList(_tuples(recs, self.rec_schema))
+        recs = pdf[~is_dim]
+        ids = recs[self.key].to_numpy(dtype=object)
+        codes, names = pd.factorize(ids)
+        for k in names:
+            if k not in now:
+                found = self.values.getValue((k,))
+                now[k] = found[0] if found else None
+        values = np.array([now[k] for k in names], dtype=object)[codes]
+        records = recs[REC].to_numpy(dtype=object)
+        known = np.array([now[k] is not None for k in names])[codes]
+        yield from self._frames(ids[known], values[known], records[known])
+        if not known.all():
+            early = pd.Series(records[~known]).groupby(codes[~known]).agg(list)
+            new = sum(self._wait(names[c], lines) for c, lines in early.items())
+            if new:
+                self.held.update((held + new,))
 
     def close(self) -> None:
         pass
@@ -238,20 +276,22 @@ class RunningReduceProcessor(StatefulProcessor):
 
 
 class ProcessingTimeWindowProcessor(StatefulProcessor):
-    """Tumbling processing-time windows per key, fired by timers.
+    """Tumbling processing-time windows of one bucket of keys, fired by timers.
 
-    Each batch's rows fall in the window holding the batch's processing
-    time; a timer at the window end emits ``(window_start, key, total)`` and
-    drops the window, whether or not more input arrived.
+    A batch's rows (``key`` and the count ``out``) fall in the window holding the batch's
+    processing time; they are appended to the bucket's open rows in one call.  A timer at
+    the window end sums the window's rows per key, emits ``(window_start, key, total)`` and
+    drops them, whether or not more input arrived.
     """
 
-    def __init__(self, key: str, size_ms: int, value: str | None = None, out: str = "cnt"):
-        self.key, self.size, self.value_col, self.out = key, size_ms, value, out
+    def __init__(self, key: str, size_ms: int, out: str = "cnt"):
+        self.key, self.size, self.out = key, size_ms, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.windows = handle.getMapState("windows", StructType([StructField("start", LongType())]),
-                                          StructType([StructField("total", LongType())]))
+        start = StructType([StructField("start", LongType())])
+        self.timers = handle.getMapState("timers", start, StructType([StructField("set", BooleanType())]))
+        self.rows = handle.getListState("rows", StructType([*start.fields, StructField("key", StringType()), StructField("n", LongType())]))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
@@ -259,23 +299,28 @@ class ProcessingTimeWindowProcessor(StatefulProcessor):
             return iter([])
         now = timerValues.getCurrentProcessingTimeInMs()
         start = now - now % self.size
-        n = len(pdf) if self.value_col is None else int(pdf[self.value_col].fillna(0).sum())
-        if self.windows.containsKey((start,)):
-            n += self.windows.getValue((start,))[0]
-        else:
+        if not self.timers.containsKey((start,)):
             self.handle.registerTimer(start + self.size)
-        self.windows.updateValue((start,), (int(n),))
+            self.timers.updateValue((start,), (True,))
+        counts = pdf.groupby(self.key)[self.out].sum()
+        self.rows.appendList([(start, k, int(n)) for k, n in counts.items()])
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         start = expiredTimerInfo.getExpiryTimeInMs() - self.size
-        if not self.windows.containsKey((start,)):
+        if not self.timers.containsKey((start,)):
             return
-        total = self.windows.getValue((start,))[0]
-        self.windows.removeKey((start,))
-        yield pd.DataFrame({"window_start": [pd.Timestamp(start, unit="ms")],
-                            self.key: [_py(key[0])], self.out: [total]})
+        self.timers.removeKey((start,))
+        rows = list(self.rows.get())
+        later = [tuple(r) for r in rows if r[0] != start]
+        self.rows.clear()
+        if later:
+            self.rows.put(later)
+        due = pd.DataFrame([tuple(r) for r in rows if r[0] == start], columns=["start", "key", "n"])
+        total = due.groupby("key")["n"].sum()
+        yield pd.DataFrame({"window_start": pd.Timestamp(start, unit="ms"), self.key: total.index.to_numpy(dtype=object),
+                            self.out: total.to_numpy()})
 
     def close(self) -> None:
         pass

@@ -17,13 +17,14 @@ from tidewater.plans import sql as tsql
 from tidewater.plans.oracles import ORACLES
 from tidewater.plans.queries import LONG_PREFIX, STRING_PREFIX, WINDOW_SIZE
 from tidewater.session import scratch_path
-from tidewater.sinks.jdbc import default_url, jdbc_stream_writer, read_jdbc
+from tidewater.sinks.jdbc import default_url, jdbc_stream_writer, jdbc_upsert_writer, read_jdbc
 from tidewater.sinks.rolling_file import read_buckets, rolling_text_stream
 from tidewater.sources import decode_value, generate_orders, read_table, table_stream, text_lines
 from tidewater.streaming.batched_state import stream_running_batches
-from tidewater.streaming.drain import drain
+from tidewater.streaming.drain import drain, drain_timers
 from tidewater.streaming.sinks import observed_batches, route_stream
-from tidewater.streaming.stateful import stream_enrich, stream_keyed_reduce
+from tidewater.streaming.stateful import (processing_time_window_counts, stream_changelog, stream_enrich, stream_keyed_reduce,
+                                          stream_running_sum)
 
 
 def _events(spark, sf_dir, *cols) -> DataFrame:
@@ -55,6 +56,37 @@ def stream_processing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("word").agg(F.sum("n").alias("cnt"))
 
 
+def stream_clock_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 s windows per word fired by timers, run until every window has fired.
+
+    Which window a row meets is a matter of the clock; per word the totals of the windows, windows that do not start at a
+    multiple of 5 s, and windows emitted twice are not.
+    """
+    docs = table_stream(spark, sf_dir, "documents").select("text")
+    fired = processing_time_window_counts(ops.tokenize_words(docs, "text", "word"), "word", 5000, out="n")
+    out = drain_timers(fired, "clock-windows")
+    return out.groupBy("word").agg(F.sum("n").alias("cnt"), F.count_if(F.unix_millis("window_start") % 5000 != 0).alias("off_grid"),
+                                   (F.count("*") - F.count_distinct("window_start")).alias("repeated"))
+
+
+def stream_upsert_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running word totals of ``documents`` set in a keyed database table over several micro-batches; the end state.
+
+    The URL comes from ``tidewater.jdbc.url``; unset, an in-memory database inside
+    the Spark JVM is used, which only that process sees.
+    """
+    url = spark.conf.get("tidewater.jdbc.url", None) or default_url()
+    name, base = f"T_WORDS_{uuid.uuid4().hex[:12].upper()}", scratch_path(spark, "upsert-store")
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    docs.repartition(4, "doc_id").write.parquet(f"{base}/documents")
+    lines = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/documents")
+    counts = ops.count_by(ops.tokenize_words(lines, "text", "word"), "word", "cnt")
+    write = jdbc_upsert_writer(url, name, "word", "cnt", column_types="word VARCHAR(32000)")
+    counts.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").foreachBatch(write) \
+        .trigger(availableNow=True).start().awaitTermination()
+    return read_jdbc(spark, url, name)
+
+
 def stream_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder of text files watched line by line, words counted per word."""
     base = scratch_path(spark, "text-lines")
@@ -93,13 +125,15 @@ def stream_enrich_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_changelog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split form: a micro-batch's heavy key is shared by many tasks."""
-    return _split_form(spark, sf_dir, "changelog", "changelog", "s")
+    """The changelog of sums kept per key in the state store."""
+    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
+    return drain(stream_changelog(ev, "event_type", "event_id", "user_id"), "changelog", "append")
 
 
 def stream_running_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split form: a micro-batch's heavy key is shared by many tasks."""
-    return _split_form(spark, sf_dir, "running", "running", "running")
+    """Running sums kept per key in the state store."""
+    ev = _events(spark, sf_dir, "event_id", "event_type", "user_id")
+    return drain(stream_running_sum(ev, "event_type", "event_id", "user_id"), "running", "append")
 
 
 def stream_keyed_reduce_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,6 +245,8 @@ STREAM_QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
     "stream_processing_window": stream_processing_window,
+    "stream_clock_windows": stream_clock_windows,
+    "stream_upsert_store": stream_upsert_store,
     "stream_text_lines": stream_text_lines,
     "stream_jdbc_insert": stream_jdbc_insert,
     "stream_enrich": stream_enrich_q,
@@ -235,6 +271,8 @@ STREAM_ORACLES = {
     "stream_word_count": ORACLES["word_count"],
     "stream_tumbling_count": ORACLES["tumbling_count"],
     "stream_processing_window": ORACLES["word_count"],
+    "stream_clock_windows": f"SELECT word, cnt, 0::BIGINT AS off_grid, 0::BIGINT AS repeated FROM ({ORACLES['word_count']})",
+    "stream_upsert_store": ORACLES["word_count"],
     "stream_text_lines": ORACLES["word_count"].replace("documents)", "(SELECT unnest(string_split(text, chr(10))) AS text, 0 AS doc_id FROM documents))"),
     "stream_jdbc_insert": "SELECT event_id, event_type, epoch_us(ts) // 1000 AS ms FROM events",
     "stream_enrich": ORACLES["broadcast_enrich"],
