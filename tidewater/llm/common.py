@@ -21,15 +21,25 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+#: Spark's setting to remove a query's shuffle files when it has ended
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads files instead of recomputing,
-    and readers see one fixed version of the rows.
+    and readers see one fixed version of the rows.  The shuffle files of the writing query
+    are removed with it, as nothing reads them again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

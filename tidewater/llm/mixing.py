@@ -12,7 +12,9 @@ nearest in words.
 Null and empty texts have size 0.  Null sources form one source, last in order.
 Equal rows are one unit with a multiplicity, so no chunk can be filled by copies of one row;
 its copies differ by at most one.  A source without words has target 0, and its
-documents stay once.  Draws follow from hashes of the rows: reruns agree.
+documents stay once.  Draws follow from hashes of the rows: reruns agree.  Texts of any length are counted
+whole.  An empty table has no source and gives no rows.  Only ``doc_id, text, source`` are read, so further
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -187,17 +189,36 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     return each.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))
 
 
+def _numbered(rows: DataFrame, unit: list[str]) -> DataFrame:
+    """``rows`` with ``__nth``, 1, 2, ... among the rows of a unit.
+
+    Rows are written with their partition's number and counted per unit and partition, so a unit of many
+    rows is numbered by many tasks: a row's number is its place in its partition after the rows of earlier ones.
+    """
+    dealt = cut(rows.withColumn("__part", F.spark_partition_id()), "copies")
+    counts = dealt.groupBy(*unit, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = W.partitionBy(*unit).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(c).alias(f"__of{c}") for c in unit], F.col("__part").alias("__of_part"),
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    same = [F.col(c).eqNullSafe(F.col(f"__of{c}")) for c in unit] + [F.col("__part") == F.col("__of_part")]
+    place = F.row_number().over(W.partitionBy(*unit, "__part").orderBy("__part"))
+    return dealt.withColumn("__at", place).join(starts, same).withColumn("__nth", F.col("__at") + F.col("__start"))
+
+
 def take_mix(docs: DataFrame, **how) -> DataFrame:
-    """The documents of the mix, all their columns, each as often as it is taken."""
+    """The documents of the mix, all their columns, each as often as it is taken.
+
+    Helper columns begin with ``__``, so columns may have any other name; an empty table stays empty.
+    """
     columns = list(docs.columns)
     units = unit_copies(docs, **how).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
-                                            "place", "m", "base", "extra")
+                                            *[F.col(c).alias(f"__{c}") for c in ("m", "base", "extra")], F.col("place").alias("__unit"))
     placed = docs.withColumn("__place", F.xxhash64("source", "doc_id", "text"))
-    joined = placed.join(units, (F.col("__place") == F.col("place")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    joined = placed.join(units, (F.col("__place") == F.col("__unit")) & F.col("doc_id").eqNullSafe(F.col("__id"))
                          & F.col("source").eqNullSafe(F.col("__source")))
-    even = (F.col("extra") == 0) | (F.col("extra") == F.col("m"))
-    plain = joined.where(even).withColumn("__copies", F.col("base") + (F.col("extra") > 0).cast("int"))
-    nth = F.row_number().over(W.partitionBy("__place", "doc_id", "source").orderBy("__place"))
-    split = joined.where(~even).withColumn("__copies", F.col("base") + (nth <= F.col("extra")).cast("int"))
-    every = plain.unionByName(split).where("__copies > 0")
+    even = (F.col("__extra") == 0) | (F.col("__extra") == F.col("__m"))
+    plain = joined.where(even).withColumn("__copies", F.col("__base") + (F.col("__extra") > 0).cast("int"))
+    split = _numbered(joined.where(~even), ["__unit", "__id", "__source"])
+    split = split.withColumn("__copies", F.col("__base") + (F.col("__nth") <= F.col("__extra")).cast("int"))
+    every = plain.select(*columns, "__copies").unionByName(split.select(*columns, "__copies")).where("__copies > 0")
     return every.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*columns)
