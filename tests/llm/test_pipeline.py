@@ -11,7 +11,7 @@ from tidewater.llm import toxicity
 from tidewater.llm.queries import QUERIES
 
 from . import helpers
-from .test_text import _ids, _word_hashes
+from .test_text import _ids
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,15 +19,22 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_is_registered():
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert [any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [True] * 10
+    assert [any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [True] * 13
 
 
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    # further columns, named as the operators name their own
+    clash = ("place", "extra", "m", "base", "dropped", "n", "row", "pos", "h1", "h2", "id", "key", "size", "target", "of", "part", "nth",
+             "copies", "unit", "component", "stays", "lines", "mins", "score", "predicted", "held_out", "fingerprint", "best", "up")
+    wide = docs.select("*", *[F.lit("x").alias(c) for c in clash])
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.schema.names == docs.schema.names, name
         assert stage(spark, docs.limit(0), SF).count() == 0
+        made = stage(spark, wide, SF)
+        assert made.schema.names == wide.schema.names, name
+        assert made.select(*docs.columns).exceptAll(out).count() == out.exceptAll(made.select(*docs.columns)).count() == 0, name
 
 
 def test_pipeline_equals_plain_stages(spark):
@@ -35,7 +42,7 @@ def test_pipeline_equals_plain_stages(spark):
     scores = toxicity.toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     clean = {r.doc_id for r in scores.where("predicted = 0").collect()}
     rows = [r for r in docs.orderBy("doc_id").collect() if r.doc_id in clean]
-    texts = helpers.dedup_lines([(r.doc_id, r.text) for r in rows], _word_hashes(spark, [r.text for r in rows]))
+    texts = helpers.dedup_lines([(r.doc_id, r.text) for r in rows])
     _, groups = helpers.near_components(texts)
     left = {rows[g].doc_id: (rows[g].source, texts[g]) for g in set(groups)}
     sizes = collections.Counter()
@@ -60,5 +67,10 @@ def test_query_covers_its_table(spark, name):
         assert out.select("query_id").distinct().count() == 25
     elif name == "op9_pstable":
         assert out.count() == 500
+    elif name == "op11_filter_audit":
+        assert out.count() == 600 * spark.read.parquet(f"{SF}/documents.parquet").selectExpr("coalesce(source, '')").distinct().count()
+    elif name == "op13_prefix_trie":
+        convs = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
+        assert [r.n_convs for r in out.where("depth = 0").collect()] == [convs]
     else:
         assert out.count() == spark.read.parquet(f"{SF}/documents.parquet").agg(F.count("*")).first()[0]

@@ -216,13 +216,8 @@ def test_keep_one(edges, docs, rows):
     assert sorted(r.doc_id for r in simhash.keep_one(docs, 4, 4).collect()) == sorted({rows[g][0] for g in groups})
 
 
-def _word_hashes(spark, texts):
-    every = sorted({w for t in texts for x in (t or "").split("\n") for w in helpers.line_words(x)})
-    return {r.w: r.h for r in spark.createDataFrame([(w,) for w in every], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
-
-
 def test_line_dedup(spark, docs, rows):
-    wanted = helpers.dedup_lines([r[:2] for r in rows], _word_hashes(spark, [r[1] for r in rows]))
+    wanted = helpers.dedup_lines([r[:2] for r in rows])
     out = {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()}
     assert [out[i] for i, _, _ in rows] == wanted
 
@@ -231,13 +226,13 @@ def test_line_dedup_variants_of_one_line(spark):
     rng = random.Random(2)
     base = ["".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(120)]
     made = []
-    for i in range(300):
+    for i in range(80):
         words = list(base)
         for _ in range(i % 4):
             words[rng.randrange(len(words))] = "".join(rng.choices(string.ascii_lowercase, k=6))
         made.append((i, " ".join(words) + f"\nown line of document {'q' * (i % 7)} {rng.random()}"))
     docs = spark.createDataFrame(made, "doc_id bigint, text string")
-    wanted = helpers.dedup_lines(made, _word_hashes(spark, [t for _, t in made]))
+    wanted = helpers.dedup_lines(made)
     assert [r.text for r in lines.dedup_lines(docs).orderBy("doc_id").collect()] == wanted
 
 
@@ -247,34 +242,12 @@ def test_line_dedup_edges(edges, empty):
     found = sorted(((str(r.doc_id), r.text) for r in out.collect()), key=str)
     assert ("1", None) in found and ("2", "") in found and ("7", "-----\n\n-----") in found
     assert ("8", "some words here") in found and ("None", "a null id") in found
-    assert [t for i, t in found if i == "5"] == ["x", "x", "y"]  # equal rows are one document
+    assert [t for i, t in found if i == "5"] == ["", "x", "y"]  # of equal rows one keeps its lines
     assert lines.dedup_lines(empty).count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 2, 5, 63, 64, 65, 500, 20_000])
-def test_simhash_expression(spark, n):
-    values = np.random.default_rng(n).integers(-2**63, 2**63 - 1, n, dtype=np.int64)
-    made = spark.createDataFrame([(values.tolist(),)], "h array<bigint>").select(lines.simhash(F.col("h")).alias("s")).first().s
-    ones = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
-    assert made == int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
-
-
-@pytest.mark.parametrize("blocks", [4, 5, 6])
-def test_block_keys_meet(spark, blocks):
-    rng = np.random.default_rng(blocks)
-    pairs = []
-    for _ in range(200):
-        a = int(rng.integers(-2**63, 2**63 - 1))
-        b = a
-        for bit in rng.choice(64, 3, replace=False).tolist():
-            b ^= (1 << bit) if bit < 63 else -(1 << 63)
-        pairs.append((a, b))
-    df = spark.createDataFrame(pairs, "a bigint, b bigint")
-    assert df.where(F.arrays_overlap(lines.block_keys("a", blocks), lines.block_keys("b", blocks))).count() == 200
-
-
 def test_line_dedup_plan_is_native(spark, docs):
-    plan = lines.occurrences(docs)._jdf.queryExecution().toString()
+    plan = lines.occurrences(docs.withColumn("__row", F.lit(1)))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
