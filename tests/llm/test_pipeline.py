@@ -34,7 +34,7 @@ def test_stages_return_the_columns_of_documents(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
         made = stage(spark, wide, SF)
         assert made.schema.names == wide.schema.names, name
-        assert made.select(*docs.columns).exceptAll(out).count() == out.exceptAll(made.select(*docs.columns)).count() == 0, name
+        assert collections.Counter(map(tuple, made.select(*docs.columns).collect())) == collections.Counter(map(tuple, out.collect())), name
 
 
 def test_pipeline_equals_plain_stages(spark):
