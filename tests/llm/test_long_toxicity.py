@@ -23,8 +23,8 @@ def test_length_rejects_no_clean_text(spark, tables):
     sentences = [x for r in clean.collect() for x in r.text.replace("\n", ". ").split(". ") if x.strip()]
     rng = random.Random(1)
     unseen = lambda: "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=9))
-    rows = [(n, ". ".join(rng.choices(sentences, k=n))) for n in (500, 2_000, 10_000, 20_000)]
-    rows += [(-n, ". ".join(f"{unseen()} {unseen()}" for _ in range(n))) for n in (500, 3_000, 20_000)]
+    rows = [(n, ". ".join(rng.choices(sentences, k=n))) for n in (500, 2_000, 10_000, 50_000)]
+    rows += [(-n, ". ".join(f"{unseen()} {unseen()}" for _ in range(n))) for n in (500, 3_000, 50_000)]
     long = spark.createDataFrame(rows, "doc_id bigint, text string")
     made = {r.doc_id: r.score for r in toxicity.score_toxicity(long, trained, ["doc_id"]).collect()}
     assert all(score < toxicity.THRESHOLD for score in made.values()), made

@@ -1,20 +1,26 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences.  A sentence's probability is a logistic function
-of its hashed one- and two-word grams and word stems; a document's is their
-noisy-or, ``1 - prod(1 - p)``, in which sentences below ``OFFENDING`` count together and only
-for what they have beyond an allowance per sentence.  The allowance is learnt from
-clean labelled documents; without it clean text alone would be rejected at some thousand sentences.  Only document labels are given: the gradient of the
-document's log loss reaches each sentence through the noisy-or, and the sentence
-scores then say where the offence is.  A null or empty text has no sentence and
-scores 0.  With no usable label every sentence scores the intercept's prior.
+A document is a bag of sentences.  A sentence's score ``s`` is linear in its hashed one- and two-word grams and
+word stems; its probability is ``1 - exp(-h)`` with
+
+    h = log 2 * (max(0, softplus(s) - FLOOR) / log 2) ** SHARP
+
+and a document's is the noisy-or of its different sentences, ``1 - exp(-sum of h)``.  The same formula is
+fitted and scored.  It is 0 for a sentence whose logistic ``p = sigmoid(s)`` is below ``OFFENDING`` and rises steeply after
+it, so the many sentences of a long clean text add up to nothing, while one toxic sentence rejects a document of any
+length.  A gram that fewer than
+``MIN_DOCS`` documents of the sample have weighs nothing.  Only document labels are given: the gradient of the document's log loss reaches each
+sentence through the noisy-or (of plain logistics while all sentences are below the floor, where the formula is flat),
+and the sentence scores then say where the offence is.
+
+A null or empty text has no sentence and scores 0.  Texts of any length are scored whole.  Equal rows get equal scores;
+a score equal to the threshold counts as toxic.  An empty table gives no rows; with no usable label every
+sentence has the prior's score, and every document 0.  Rows with a null id are scored, never learnt from.  Columns may have any name
+but ``__toxicity`` and ``__toxicity_spans`` in ``drop_toxic``; ``score_toxicity`` replaces a kept column that has a result's name.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,14 +36,15 @@ THRESHOLD = 0.5   # of a document
 OFFENDING = 0.25  # of a sentence reported as offending
 MIN_DOCS = 3      # of a shard, that have a gram before it is learnt from
 PRIOR = -5.0      # log odds of a sentence with no known gram
-MARGIN = 2.0      # allowance, in means of the clean sentences
+FLOOR = -float(np.log1p(-OFFENDING))  # softplus(s) where sigmoid(s) = OFFENDING
+SHARP = 4.0       # power of what a sentence has beyond the floor
 
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?\n"]] = True
 
 
 class Sentences:
-    """Sentences of a run of texts: text, byte span and hash slots of each."""
+    """Sentences of a run of texts: text, byte span and hash slots of each, and whether it is new in its text."""
 
     def __init__(self, texts: Texts, bits: int):
         tokens = Tokens(texts, lower=True)
@@ -51,9 +58,16 @@ class Sentences:
         self.text = tokens.text[first]
         self.start = tokens.start[first]
         self.end = tokens.end[last] if len(place) else tokens.end
-        grams, owner = ngram_slots(tokens.hash, number, bits)
+        nth = np.arange(len(number)) - first[number]
+        whole = np.add.reduceat(tokens.hash * (2 * nth + 1).astype(np.uint64), first) if len(first) else tokens.hash
+        # a sentence that its text has had before is no new evidence
+        order = np.lexsort((np.arange(len(first)), whole, self.text))
+        self.fresh = np.ones(len(first), bool)
+        self.fresh[order[1:]] = (whole[order][1:] != whole[order][:-1]) | (self.text[order][1:] != self.text[order][:-1])
+        grams, owner = ngram_slots(tokens.hash, number, 64)
         stems, at = stem_hashes(tokens)
-        self.slots = np.concatenate([grams, (stems >> np.uint64(64 - bits)).astype(np.int64)])
+        self.grams = np.concatenate([grams.view(np.uint64), stems])
+        self.slots = (self.grams >> np.uint64(64 - bits)).astype(np.int64)
         self.owner = np.concatenate([owner, number[at]])
 
     def __len__(self) -> int:
@@ -64,93 +78,116 @@ def _sigmoid(s: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(s, -30, 30)))
 
 
-def _train(learner: Learner, rows: pd.DataFrame, epochs: int = 1, bits: int = BITS) -> None:
+def hazards(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``h`` of sentences with the scores ``s``, and its derivative."""
+    s = np.clip(s, -30, 30)
+    over = np.maximum(0, np.logaddexp(0, s) - FLOOR) / np.log(2)
+    return np.log(2) * over ** SHARP, SHARP * over ** (SHARP - 1) * _sigmoid(s)
+
+
+def _train(learner: Learner, rows: pd.DataFrame, epochs: int = 1) -> None:
     """Passes over documents; grams of fewer than ``MIN_DOCS`` of them teach nothing general
     (a label could be explained by any word that only its document has)."""
     y, bags = rows["y"].to_numpy(), []
+    bits = int(np.log2(len(learner.z) - 1))
     seen = np.zeros(1 << bits, np.int64)
     for texts in text_blocks(pa.array(rows["text"], pa.large_string())):
         found = Sentences(texts, bits)
         owner_text = found.text[found.owner]
         order = np.argsort(owner_text, kind="stable")
         cuts = np.cumsum(np.bincount(owner_text, minlength=len(texts)))[:-1]
-        for grams, owner in zip(np.split(found.slots[order], cuts), np.split(found.owner[order], cuts), strict=True):
+        fresh = np.split(found.fresh, np.cumsum(np.bincount(found.text, minlength=len(texts)))[:-1])
+        for grams, owner, new in zip(np.split(found.slots[order], cuts), np.split(found.owner[order], cuts), fresh, strict=True):
             at, gram = np.unique(grams, return_inverse=True)
             seen[at] += 1
-            bags.append((at, gram, owner - owner.min() if len(owner) else owner))
-    for i, (at, gram, owner) in enumerate(bags):
+            bags.append((at, gram, owner - owner.min() if len(owner) else owner, new))
+    for i, (at, gram, owner, new) in enumerate(bags):
         common = seen[at] >= MIN_DOCS
         place = np.cumsum(common) - 1
         stay = common[gram]
-        bags[i] = np.append(at[common], 1 << bits), place[gram[stay]], owner[stay], int(owner.max(initial=-1)) + 1
+        bags[i] = np.append(at[common], 1 << bits), place[gram[stay]], owner[stay], new
     rng = np.random.default_rng(len(bags))
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):
-            at, gram, owner, sentences = bags[i]
-            if not sentences:
+            at, gram, owner, new = bags[i]
+            if not len(new):
                 continue
             w = learner.weights(at)
-            p = _sigmoid(np.bincount(owner, weights=w[gram], minlength=sentences) + w[-1] + PRIOR)
-            clean = np.exp(np.sum(np.log1p(-p)))
-            g = p if y[i] == 0 else -p * clean / max(1 - clean, 1e-9)
+            s = np.bincount(owner, weights=w[gram], minlength=len(new)) + w[-1] + PRIOR
+            h, g = hazards(s)
+            if y[i] and (h * new).sum() < 1e-6:  # flat here: the plain noisy-or says which sentences to raise
+                h, g = np.logaddexp(0, s), _sigmoid(s)
+            g = g * new
+            if y[i]:
+                g = -g / max(np.expm1(min((h * new).sum(), 50.0)), 1e-12)
             step = np.append(np.bincount(gram, weights=g[owner], minlength=len(at) - 1), g.sum())
             learner.update(at, w, np.clip(step, -2, 2))
 
 
-def _probabilities(found: Sentences, w: np.ndarray) -> np.ndarray:
-    return _sigmoid(np.bincount(found.owner, weights=w[found.slots], minlength=len(found)) + w[-1] + PRIOR)
+def _scores(found: Sentences, weights: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Scores of sentences; a gram that is not ``known`` weighs nothing, whatever its slot's weight."""
+    w = weights[found.slots].astype(np.float64)
+    heavy = np.flatnonzero(w)
+    grams = found.grams[heavy]
+    w[heavy[np.append(known, 0)[np.searchsorted(known, grams)] != grams]] = 0
+    return np.bincount(found.owner, weights=w, minlength=len(found)) + weights[-1] + PRIOR
+
 
+def _known(sample: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the grams that ``MIN_DOCS`` documents of the sample have, in slots with a weight.
 
-def _allowance(sample: DataFrame, weights: np.ndarray) -> float:
-    """Log probability of being clean that a sentence may lose: ``MARGIN`` times the mean of the clean
-    sample's sentences below ``OFFENDING``, and what a sentence of unknown words loses at least."""
+    Bounded by the sample.  Without it the words of a long text in another
+    vocabulary would meet learnt slots by chance.
+    """
     model = sample.sparkSession.sparkContext.broadcast(weights)
     bits = int(np.log2(len(weights) - 1))
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lost, n = 0.0, 0
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in text_blocks(batch.column(0)):
-                p = _probabilities(Sentences(texts, bits), model.value)
-                p = p[p < OFFENDING]
-                lost, n = lost - float(np.log1p(-p).sum()), n + len(p)
-        yield pa.RecordBatch.from_pydict({"lost": [lost], "n": [n]})
+                found = Sentences(texts, bits)
+                heavy = model.value[found.slots] != 0
+                text, gram = found.text[found.owner[heavy]], found.grams[heavy]
+                order = np.lexsort((gram, text))
+                text, gram = text[order], gram[order]
+                new = np.append(True, (text[1:] != text[:-1]) | (gram[1:] != gram[:-1]))[:len(gram)]
+                made, n = np.unique(gram[new], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"gram": made.view(np.int64), "n": n})
+
+    counted = sample.select("text").mapInArrow(grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") >= MIN_DOCS).select("gram").collect()
+    return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
 
-    parts = sample.where("y = 0").select("text").mapInArrow(sums, "lost double, n bigint").collect()  # one row per task
-    mean = math.fsum(r.lost for r in parts) / max(1, sum(r.n for r in parts))
-    return max(MARGIN * mean, float(-np.log1p(-_sigmoid(weights[-1] + PRIOR))))
 
+def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
+    """Sentence weights fitted from document labels on a bounded sample not held out, and the known grams.
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[np.ndarray, float]:
-    """Sentence weights fitted from document labels on a bounded sample not held out, and the
-    allowance of a clean sentence."""
+    Every learner goes through the whole sample in an order of its own; their mean scores
+    unseen sentences more evenly than one learner does.
+    """
     sample = labelled_sample(docs, labels, label)
-    weights = fit(sample, _train, alpha=1.0, l1=1.0, l2=0.1)
-    return weights, _allowance(sample, weights)
+    weights = fit(sample, _train, alpha=1.0, l1=1.0, l2=0.1, whole=True)
+    return weights, _known(sample, weights)
 
 
-def score_toxicity(docs: DataFrame, trained: tuple[np.ndarray, float], keep: list[str], out: str = "score",
+def score_toxicity(docs: DataFrame, trained: tuple[np.ndarray, np.ndarray], keep: list[str], out: str = "score",
                    below: float | None = None) -> DataFrame:
     """``keep``, the document's probability and its offending sentences.
 
-    The document's probability does not grow with sentences that are as clean as the
-    training documents'.  ``<out>_spans`` holds ``start:end`` of each offending sentence, in code points,
+    ``<out>_spans`` holds ``start:end`` of each offending sentence, in code points,
     comma-joined.  ``below`` keeps only the rows that score less than it.
     """
-    weights, allowance = trained
-    model = docs.sparkSession.sparkContext.broadcast(weights)
-    bits = int(np.log2(len(weights) - 1))
+    model = docs.sparkSession.sparkContext.broadcast(trained)
+    bits = int(np.log2(len(trained[0]) - 1))
 
     def start():
-        w = model.value
+        weights, known = model.value
 
         def score(texts: Texts) -> list:
             found = Sentences(texts, bits)
-            p = _probabilities(found, w)
-            lost, low = -np.log1p(-p), p < OFFENDING
-            total = lambda x: np.bincount(found.text, weights=x, minlength=len(texts))
-            clean = -total(lost * ~low) - np.maximum(0, total((lost - allowance) * low))
-            at = np.flatnonzero(p >= OFFENDING)
+            h, _ = hazards(_scores(found, weights, known))
+            total = np.bincount(found.text, weights=h * found.fresh, minlength=len(texts))
+            at = np.flatnonzero(h > 0)
             spans: list[list[str]] = [[] for _ in range(len(texts))]
             if len(at):
                 points = np.cumsum((texts.data & 0xC0) != 0x80)
@@ -158,7 +195,7 @@ def score_toxicity(docs: DataFrame, trained: tuple[np.ndarray, float], keep: lis
                 for i in at:
                     base = before(texts.offsets[found.text[i]])
                     spans[found.text[i]].append(f"{before(found.start[i]) - base}:{before(found.end[i]) - base}")
-            return [1 - np.exp(clean), pa.array([",".join(x) for x in spans], pa.string())]
+            return [-np.expm1(-total), pa.array([",".join(x) for x in spans], pa.string())]
         return score
 
     where = None if below is None else lambda made: made[0] < below
