@@ -60,12 +60,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_rows:
                            F.xxhash64("doc_id").alias("place")), "sample")
 
 
-def _shard_learner(train, start, seed: int, whole: bool, alpha: float, l1: float, l2: float):
+def _shard_learner(train, start, seed: int, even: bool, alpha: float, l1: float, l2: float):
     """The function that carries one shard's rows through one round."""
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         z, n = (x.astype(np.float64) for x in start.value)
         learner = Learner(z, n, alpha, l1, l2)
-        order = seed * SHARDS + int(rows["shard"].iloc[0]) if whole else seed
+        order = seed * SHARDS + int(rows["shard"].iloc[0]) if even else seed
         rows = rows.sort_values(["place", "text"]).sample(frac=1.0, random_state=order)
         train(learner, rows, max(1, SHARD_ROWS // len(rows)))
         return pd.DataFrame({"z": [learner.z.astype(np.float32).tobytes()],
@@ -74,22 +74,24 @@ def _shard_learner(train, start, seed: int, whole: bool, alpha: float, l1: float
 
 
 def fit(sample: DataFrame, train: Callable[[Learner, pd.DataFrame, int], None], alpha: float = 0.1,
-        l1: float = 0.5, l2: float = 1.0, bits: int = BITS, rounds: int = ROUNDS, whole: bool = False) -> np.ndarray:
+        l1: float = 0.5, l2: float = 1.0, bits: int = BITS, rounds: int = ROUNDS, even: bool = False) -> np.ndarray:
     """Weights learnt by iterative parameter mixing: each shard continues from the
     averaged state, and only ``SHARDS`` fixed-size states reach the driver per round.
 
-    With ``whole`` each of the ``SHARDS`` learners goes through the whole (bounded) sample, at every size of it.  Else
-    a learner has its shard, and a sample of less than ``SHARDS * SHARD_ROWS / 2`` rows is one shard.  Fewer than
-    ``SHARD_ROWS`` rows are gone through several times a round.
+    With ``even`` each of the ``SHARDS`` learners has about ``SHARD_ROWS`` rows: those of a smaller sample are dealt to
+    several learners, at most to all.  Else a learner has its shard, and a sample of less than
+    ``SHARDS * SHARD_ROWS / 2`` rows is one shard.  Fewer than ``SHARD_ROWS`` rows are gone through several times a round.
     """
     size = (1 << bits) + 1
-    if whole:
-        sample = sample.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(SHARDS - 1))))
+    if even:
+        times = min(SHARDS, max(1, round(SHARDS * SHARD_ROWS / max(1, sample.count()))))
+        shard = F.pmod(F.xxhash64(F.lit("deal"), "place"), F.lit(SHARDS)).cast("int")
+        sample = sample.withColumn("shard", F.explode(F.array(*[(shard + k) % SHARDS for k in range(times)])))
     z, n = np.zeros(size), np.zeros(size)
     for k in range(rounds):
         start = sample.sparkSession.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
 
-        learn = _shard_learner(train, start, k, whole, alpha, l1, l2)
+        learn = _shard_learner(train, start, k, even, alpha, l1, l2)
         states = sample.groupBy("shard").applyInPandas(learn, "z binary, n binary").collect()
         if not states:  # no labelled row: the weights stay zero
             break

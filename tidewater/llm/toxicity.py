@@ -162,11 +162,11 @@ def _known(sample: DataFrame, weights: np.ndarray) -> np.ndarray:
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
     """Sentence weights fitted from document labels on a bounded sample not held out, and the known grams.
 
-    Every learner goes through the whole sample in an order of its own; their mean scores
-    unseen sentences more evenly than one learner does.
+    Rows of a small sample go to several learners, to each in an order of its own: the mean of learners scores
+    unseen sentences more evenly than one does.
     """
     sample = labelled_sample(docs, labels, label)
-    weights = fit(sample, _train, alpha=1.0, l1=1.0, l2=0.1, whole=True)
+    weights = fit(sample, _train, alpha=1.0, l1=1.0, l2=0.1, even=True)
     return weights, _known(sample, weights)
 
 
