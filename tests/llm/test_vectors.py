@@ -68,11 +68,11 @@ def _nearest(x, ids, query, k):
     return [(int(ids[i]), s[i]) for i in order if ids[i] != ids[query]][:k]
 
 
-def test_nearest_small_is_exact(spark):
+def test_nearest_in_one_range_is_exact(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(400, 16)).astype(np.float32)
     x[50:90] = x[50]  # ties go to the smaller id
-    out = hilbert.nearest(_table(spark, [*x.tolist(), *BAD], [1] * (400 + len(BAD))), F.col("vec_id") % 20 == 0, k=20).collect()
+    out = hilbert.nearest(_table(spark, [*x.tolist(), *BAD], [1] * (400 + len(BAD))), F.col("vec_id") % 20 == 0, k=20, ranges=1).collect()
     assert {r.query_id for r in out} == set(range(0, 400, 20))
     for q in range(0, 400, 20):
         mine = sorted((r.rank, r.vec_id, r.score) for r in out if r.query_id == q)
@@ -81,15 +81,35 @@ def test_nearest_small_is_exact(spark):
         assert np.allclose([s for _, _, s in mine], [s for _, s in wanted], rtol=1e-12)
 
 
-def test_nearest_recall(spark):
+@pytest.mark.parametrize("n", [600, 6000])
+def test_nearest_recall(spark, n):
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(6000, 32)).astype(np.float32) * rng.uniform(0.5, 1.5, size=(6000, 1))
-    out = hilbert.nearest(_table(spark, x.tolist(), [1] * 6000), F.col("vec_id") % 60 == 0, k=20, least=200).collect()
+    x = rng.normal(size=(n, 32)).astype(np.float32) * rng.uniform(0.5, 1.5, size=(n, 1))
+    out = hilbert.nearest(_table(spark, x.tolist(), [1] * n), F.col("vec_id") % 60 == 0, k=20).collect()
     found = {(r.query_id, r.vec_id) for r in out}
-    wanted = {(q, v) for q in range(0, 6000, 60) for v, _ in _nearest(x.astype(float), np.arange(6000), q, 20)}
+    wanted = {(q, v) for q in range(0, n, 60) for v, _ in _nearest(x.astype(float), np.arange(n), q, 20)}
+    assert len(out) == len(wanted)
     assert len(found & wanted) >= 0.9 * len(wanted)
 
 
+def test_nearest_equal_vectors(spark):
+    """Equal vectors fill one range of a curve; queries beside it still get all their neighbours."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 16)).astype(np.float32)
+    x[:280] = x[0]
+    out = hilbert.nearest(_table(spark, x.tolist(), [1] * 300), F.col("vec_id") % 20 == 0, k=20).collect()
+    for q in range(0, 300, 20):
+        assert sorted(r.rank for r in out if r.query_id == q) == list(range(1, 21))
+    assert [r.vec_id for r in sorted(out, key=lambda r: r.rank) if r.query_id == 0] == list(range(1, 21))
+
+
+def test_nearest_repeated_rows(spark):
+    """Rows of one id are one query and one candidate."""
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.5, 0.5]), (3, [0.0, 2.0])]
+    out = hilbert.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 1, k=5)
+    assert [(r.vec_id, r.score) for r in out.orderBy("rank").collect()] == [(3, 2.0), (2, 0.5)]
+
+
 def test_nearest_few_rows(spark):
     assert hilbert.nearest(spark.createDataFrame([], SCHEMA), F.lit(True)).count() == 0
     out = hilbert.nearest(_table(spark, [[1, 0], [2, 0], [0, 1]], [1] * 3), F.col("vec_id") == 0).orderBy("rank").collect()

@@ -7,16 +7,19 @@ shifted quantiles, and walks the grid along a Hilbert curve.  Curve keys are cut
 into ranges; a query looks into its own range and the two beside it, in every ordering.
 The windows are scored exactly in double precision and merged per query.
 
-Quantiles and range bounds are fitted on a bounded sample (``SAMPLE`` vectors, chosen
-by hash); every vector is indexed.  A range holds 1/25 of the vectors, but 1,024 at
-least, so small tables are searched whole.  Ranges and queries are dealt into pieces
-of bounded size, whatever one key holds.  Where the data have no low-dimensional
-structure, any window must be a fixed share of them for a fixed recall; ``orderings`` and
-``ranges`` trade work for recall.
+Quantiles and range bounds are fitted on a bounded sample (``SAMPLE`` vectors or ``SAMPLE_VALUES``
+components, whichever is less, chosen by hash); every vector is indexed.  A range holds 1/25 of the vectors
+at every size of the table.  Ranges and queries are dealt into pieces of bounded size, whatever one
+key holds.  A query whose windows hold fewer than ``k`` candidates (tiny tables, or ranges
+left empty by many equal vectors) is scored against all vectors, in pieces.  Where the data have no
+low-dimensional structure, any window must be a fixed share of them for a fixed recall;
+``orderings`` and ``ranges`` trade work for recall.
 
 Null, zero and non-finite vectors, and vectors without an id or of another dimension than
-the most common one, take no part.  Rows that share an id are one candidate, of
-which the nearest counts.  Ties go to the smaller id.
+the most common one, take no part.  Rows that share an id, equal rows included, are one candidate, of
+which the nearest counts, and one query, which keeps the best of what its rows find.  Ties go to the
+smaller id.  An empty table, or one without usable vectors, gives no rows.  Columns other than
+``vec_id`` and ``embedding`` are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ from .common import cut
 from .vectors import matrix, usable
 
 ORDERINGS, DIMS, LEVELS = 12, 8, 4
-RANGES, LEAST = 25, 1024
-SAMPLE = 20_000
+RANGES = 25
+SAMPLE, SAMPLE_VALUES = 20_000, 4_000_000
 PIECE, QUERIES = 8192, 2048  # vectors and queries of one task's comparison
 SEED = 7
 
@@ -145,9 +148,25 @@ def _score(dim: int, k: int):
     return run
 
 
-def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, orderings: int = ORDERINGS,
-            ranges: int = RANGES, least: int = LEAST) -> DataFrame:
-    """``query_id, rank, vec_id, score``: each query's ``k`` nearest found, never itself."""
+def _sides(held: DataFrame, asked: DataFrame) -> DataFrame:
+    """Both sides of every cell (ordering and range), dealt into pieces ``v, q`` that one task compares."""
+    # a few counts per cell decide how many pieces its two sides are dealt into
+    cells = (held.groupBy("ordering", "place").agg(F.ceil(F.count("*") / PIECE).alias("vs"))
+             .join(asked.groupBy("ordering", "place").agg(F.ceil(F.count("*") / QUERIES).alias("qs")), ["ordering", "place"]))
+    cells = F.broadcast(cut(cells, "cells"))  # at most orderings x ranges rows
+    deal = lambda column, n: F.pmod(F.xxhash64(F.lit(n), "vec_id"), F.col(n)).alias(column)
+    copies = lambda column, n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)).alias(column)
+    return (held.join(cells, ["ordering", "place"])
+            .select("ordering", "place", deal("v", "vs"), copies("q", "qs"), "vec_id", "vector", F.lit(False).alias("query"))
+            .union(asked.join(cells, ["ordering", "place"])
+                   .select("ordering", "place", copies("v", "vs"), deal("q", "qs"), "vec_id", "vector", F.lit(True).alias("query"))))
+
+
+def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, orderings: int = ORDERINGS, ranges: int = RANGES) -> DataFrame:
+    """``query_id, rank, vec_id, score``: each query's ``k`` nearest found, never itself.
+
+    ``is_query`` is a condition on ``vec_id``.  With ``ranges=1`` the search is exact.
+    """
     spark = embeddings.sparkSession
     rows = embeddings.where(F.col("vec_id").isNotNull() & usable("embedding")).select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -158,29 +177,30 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, orderings: int
         return empty
     dim, n = dims.dim, dims.n
     rows = cut(rows.where(size == dim), "vectors")
-    share = min(1.0, SAMPLE / n)
+    wanted = max(1, min(SAMPLE, SAMPLE_VALUES // dim))
     length = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v)
-    sample = rows.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(10**9)) < int(share * 10**9))
-    fitted = np.array([r[0] for r in sample.select("embedding").limit(2 * SAMPLE).collect()]).reshape(-1, dim)
+    sample = rows.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(10**9)) < int(min(1.0, wanted / n) * 10**9))
+    fitted = np.array([r[0] for r in sample.select("embedding").limit(2 * wanted).collect()]).reshape(-1, dim)
     if not len(fitted):
-        fitted = np.array([r[0] for r in rows.select("embedding").limit(1000).collect()])
+        fitted = np.array([r[0] for r in rows.select("embedding").limit(min(1000, wanted)).collect()])
     radius = float(np.sqrt(rows.agg(F.max(length)).first()[0]))
-    ranges = max(1, min(ranges, n // least))
     curves = spark.sparkContext.broadcast(Curves(fitted, radius, ranges, orderings))
     schema = "ordering int, place int, vec_id bigint, vector binary"
+    pairs = "query_id bigint, vec_id bigint, score double"
+
+    def best(held: DataFrame, asked: DataFrame) -> DataFrame:
+        found = _sides(held, asked).groupBy("ordering", "place", "v", "q").applyInPandas(_score(dim, k), pairs)
+        rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
     held = rows.mapInArrow(_place(curves, False), schema)
     asked = rows.where(is_query).mapInArrow(_place(curves, True), schema)
-    # a few counts per ordering and range decide how many pieces its two sides are dealt into
-    cells = (held.groupBy("ordering", "place").agg(F.ceil(F.count("*") / PIECE).alias("vs"))
-             .join(asked.groupBy("ordering", "place").agg(F.ceil(F.count("*") / QUERIES).alias("qs")), ["ordering", "place"]))
-    cells = F.broadcast(cut(cells, "cells"))  # at most orderings x ranges rows
-    deal = lambda column, n: F.pmod(F.xxhash64(F.lit(n), "vec_id"), F.col(n)).alias(column)
-    copies = lambda column, n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)).alias(column)
-    sides = (held.join(cells, ["ordering", "place"])
-             .select("ordering", "place", deal("v", "vs"), copies("q", "qs"), "vec_id", "vector", F.lit(False).alias("query"))
-             .union(asked.join(cells, ["ordering", "place"])
-                    .select("ordering", "place", copies("v", "vs"), deal("q", "qs"), "vec_id", "vector", F.lit(True).alias("query"))))
-    found = sides.groupBy("ordering", "place", "v", "q").applyInPandas(_score(dim, k), "query_id bigint, vec_id bigint, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    found = cut(best(held, asked), "nearest")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = cut(rows.where(is_query).join(full, "vec_id", "left_anti"), "nearest-short")
+    if short.isEmpty():
+        return found
+    whole = spark.sparkContext.broadcast(Curves(fitted, radius, 1, 1))  # one range: all vectors
+    again = best(rows.mapInArrow(_place(whole, False), schema), short.mapInArrow(_place(whole, True), schema))
+    return found.join(full, found["query_id"] == full["vec_id"], "left_semi").union(again)
