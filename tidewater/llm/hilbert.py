@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import cut
 from .vectors import matrix, usable
 
-ORDERINGS, DIMS, LEVELS = 12, 8, 4
+ORDERINGS, DIMS, LEVELS = 16, 8, 4
 RANGES = 25
 SAMPLE, SAMPLE_VALUES = 20_000, 4_000_000
 PIECE, QUERIES = 8192, 2048  # vectors and queries of one task's comparison
