@@ -8,8 +8,11 @@ up again.  Pre-tokens are independent of each other, so replaying block by block
 gives the same ids as one replay over the corpus, without moving any text.
 A pre-token that is itself a token is that token, as in the public encoder.
 
-Null texts count as empty and have no ids.  The vocabulary file is read once on
-the driver (under 1 MB) and broadcast.
+Null texts count as empty; empty texts have no ids.  Texts of any length are encoded whole.  Every row is
+encoded by itself, so repeated rows keep their rows; an empty table stays empty.  Of the columns only ``text`` and
+those in ``keep`` are read; a computed column replaces a kept one of its name.  Equal ranks do not
+occur, and of places that make the same token the left one merges first.  The vocabulary
+file is read once on the driver (under 1 MB) and broadcast.
 """
 
 from __future__ import annotations

@@ -13,8 +13,11 @@ or compared: a bucket returns, per class, its count of links and one link toward
 the first class of its component.  A bucket of more than ``TILE`` classes is split and its
 parts are compared pairwise in separate tasks.
 
-Null, zero and non-finite vectors and null labels link with nothing.  Rows with
-equal ids stay rows of their own; null ids are ignored in a component's smallest id.
+Null, zero and non-finite vectors and null labels link with nothing.  Vectors of different dimension never
+link.  Rows with equal ids, repeated rows included, stay rows of their own and link with each other; null ids are
+ignored in a component's smallest id, and a row with a null id is never kept.  A cosine of exactly the threshold
+links.  An empty table gives no rows.  Only ``vec_id``, ``embedding`` and ``label`` are read, so
+other columns may have any name.
 """
 
 from __future__ import annotations

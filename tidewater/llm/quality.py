@@ -4,6 +4,10 @@ follow-the-regularised-leader updates and scored as sparse dot products.
 Features of a text are the one- and two-grams of its tokens (case kept, runs of marks
 are tokens) and of the tokens' shapes, each with the value 1/sqrt(number of grams).  A null or empty text has no
 gram and scores the intercept alone.  With no usable label every score is 0.5.
+
+Texts of any length are scored whole.  Every row is scored by itself, so repeated rows and ids keep their
+rows and equal texts have equal scores; a score of exactly ``THRESHOLD`` counts as 1.  An empty table gives
+no rows.  Only ``doc_id`` and ``text`` are read, so other columns may have any name.
 """
 
 from __future__ import annotations

@@ -16,7 +16,10 @@ each band of lengths since short tokens carry less evidence, decides which token
 reported.  Runs of digits alone are no candidates, and a token inside a
 pattern's span is not reported again.
 
-Null and empty texts have no span.  Offsets are code points, end exclusive.
+Null and empty texts have no span.  Offsets are code points, end exclusive.  Texts of any length
+are scanned whole.  Every row is scanned by itself, so repeated rows keep their rows, and each counts in the letter pairs and
+in the step-up rule; tokens of equal p-value are reported together or not at all.  An empty table gives no
+rows.  Only ``doc_id`` and ``text`` are read, so other columns may have any name.
 """
 
 from __future__ import annotations

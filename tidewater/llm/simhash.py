@@ -15,7 +15,10 @@ is exact and so grows with the square of the number of distinct fingerprints.
 Words are runs without white space, A-Z in lower case; a text with fewer words
 than a shingle is one shingle; null, empty and blank texts have fingerprint zero and
 link like any other.  Equal fingerprints are one node.  Null ids are ignored when
-the smallest id of a component is taken.
+the smallest id of a component is taken (null if it has no other).  A bit set in exactly half of the shingles
+is 0.  Texts of any length are read whole.  In ``near_duplicates`` repeated rows keep their rows; in ``keep_one``
+rows equal in id and text are one document.  An empty table stays empty.  Helper
+columns begin with ``__``, so columns may have any other name.
 """
 
 from __future__ import annotations
