@@ -64,6 +64,31 @@ def _rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
 
+#: rows that a processor works on and emits at once
+ROWS = 1 << 16
+
+
+def _in_order(rows: Iterator[pd.DataFrame], order: str, *columns: str) -> Iterator[dict[str, np.ndarray]]:
+    """One key's rows sorted by ``order``, ``ROWS`` at a time, as flat columns.
+
+    Of the frames only these columns are held, without the key and as plain arrays where the type has
+    one, so a row costs some tens of bytes however many rows a key has in a micro-batch.
+    """
+    parts: dict[str, list[pd.Series]] = {c: [] for c in (order, *columns)}
+    for frame in rows:
+        if len(frame):
+            for c, held in parts.items():
+                held.append(frame[c].copy())  # not a view, which would keep the frame
+    if not parts[order]:
+        return
+    whole = {c: pd.concat(parts.pop(c), ignore_index=True) for c in (order, *columns)}
+    by = whole[order]
+    at = None if by.is_monotonic_increasing else by.sort_values(kind="stable").index.to_numpy()
+    for i in range(0, len(by), ROWS):
+        part = slice(i, i + ROWS) if at is None else at[i:i + ROWS]
+        yield {c: s.iloc[part].to_numpy() for c, s in whole.items()}
+
+
 def _nullable(values: np.ndarray, present: np.ndarray, kind: str):
     """A pandas column that is null where ``present`` is false."""
     cls = pd.arrays.IntegerArray if kind == "Int64" else pd.arrays.FloatingArray
@@ -204,27 +229,30 @@ class RunningSumProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         k = _py(key[0])
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(self.order, kind="stable")
         seen = self.total.exists()
         start, found = self.total.get() if seen else (0, False)
-        real = ~pdf[MISSING].to_numpy(dtype=bool)
-        vals = np.where(real, pdf[self.value_col].to_numpy(), 0).astype(self.np_type)
-        after = self.np_type(start) + np.cumsum(vals)
-        before = np.concatenate(([self.np_type(start)], after[:-1]))
-        has = np.logical_or.accumulate(real) | found  # a total exists
-        had = np.concatenate(([found], has[:-1]))
-        self.total.update((after[-1].item(), bool(has[-1])))
+        start, added, total = self.np_type(start), self.np_type(0), None
+        for rows_now in _in_order(rows, self.order, self.value_col, MISSING):
+            real = ~rows_now[MISSING].astype(bool)
+            vals = np.where(real, rows_now[self.value_col], 0).astype(self.np_type)
+            # what the batch added before these rows comes first, so that sums do not depend on where rows are cut
+            sums = np.cumsum(np.concatenate(([added], vals)))
+            before, after = start + sums[:-1], start + sums[1:]
+            has = np.logical_or.accumulate(real) | found  # a total exists
+            had = np.concatenate(([found], has[:-1]))
+            yield from self._emitted(k, rows_now[self.order], before, after, had, has, not seen)
+            seen, found, added, total = True, bool(has[-1]), sums[-1], after[-1].item()
+        if total is not None:
+            self.total.update((total, found))
+
+    def _emitted(self, k, seqs, before, after, had, has, new: bool) -> Iterator[pd.DataFrame]:
+        """The rows for records with totals ``before`` and ``after`` them; ``new``: the first is the key's first."""
         kind = "Int64" if self.integral else "Float64"
-        seqs = pdf[self.order].to_numpy()
         if self.emit == "running":
             yield pd.DataFrame({self.order: seqs, self.key: k, self.out: _nullable(after, has, kind)})
             return
-        first = np.zeros(len(vals), dtype=bool)
-        if not seen:
-            first[0] = True
+        first = np.zeros(len(after), dtype=bool)
+        first[0] = new
         same = (before == after) | ((before != before) & (after != after))  # NaN equals NaN, as in SQL
         changed = ~first & ((had != has) | (has & ~same))
         if not first.any() and not changed.any():
