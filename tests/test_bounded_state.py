@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+from pyspark.sql.types import LongType
 
 from tidewater.streaming import processors as pr
 
@@ -118,3 +119,14 @@ def test_running_sum_emits_a_bounded_number_of_rows():
             at = moved[moved > 1]
             assert (ups[at].to_numpy(dtype=np.int64) == whole[at]).all() and (downs[at].to_numpy(dtype=np.int64) == whole[at - 1]).all()
             assert (got["op"] == "+I").sum() == 1
+
+
+def test_running_reduce_emits_a_bounded_number_of_rows():
+    columns, whole = shuffled()
+    proc = pr.RunningReduceProcessor("k", "seq", "v", lambda a, b: a + b, LongType())
+    proc.init(Handle())
+    out = list(proc.handleInputRows(("vx",), frames(columns), None))
+    assert max(map(len, out)) <= 1 << 16
+    got = pd.concat(out)
+    assert got["seq"].tolist() == list(range(N))
+    assert (got["v"].iloc[1:].astype("int64").to_numpy() == whole[1:]).all() and proc.acc.get() == (int(whole[-1]),)

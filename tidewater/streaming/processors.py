@@ -283,21 +283,19 @@ class RunningReduceProcessor(StatefulProcessor):
         self.acc = handle.getValueState("acc", StructType([StructField("v", self.value_type)]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(self.order, kind="stable")
-        state = self.acc.get()
+        state, n = self.acc.get(), 0
         acc = state[0] if state is not None else None
-        out = []
-        for v, missing in zip(pdf[self.value_col].tolist(), pdf[MISSING].tolist(), strict=True):
-            v = None if missing else _coerce(v, self.value_type)
-            if v is not None:
-                acc = v if acc is None else _coerce(self.fn(acc, v), self.value_type)
-            out.append(acc)
-        self.acc.update((acc,))
-        yield pd.DataFrame({self.order: pdf[self.order].to_numpy(), self.key: _py(key[0]),
-                            self.value_col: out})
+        for rows_now in _in_order(rows, self.order, self.value_col, MISSING):
+            out = []
+            for v, missing in zip(rows_now[self.value_col].tolist(), rows_now[MISSING].tolist(), strict=True):
+                v = None if missing else _coerce(v, self.value_type)
+                if v is not None:
+                    acc = v if acc is None else _coerce(self.fn(acc, v), self.value_type)
+                out.append(acc)
+            n += len(out)
+            yield pd.DataFrame({self.order: rows_now[self.order], self.key: _py(key[0]), self.value_col: out})
+        if n:
+            self.acc.update((acc,))
 
     def close(self) -> None:
         pass
