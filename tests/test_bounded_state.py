@@ -130,3 +130,19 @@ def test_running_reduce_emits_a_bounded_number_of_rows():
     got = pd.concat(out)
     assert got["seq"].tolist() == list(range(N))
     assert (got["v"].iloc[1:].astype("int64").to_numpy() == whole[1:]).all() and proc.acc.get() == (int(whole[-1]),)
+
+
+def test_clock_window_reads_its_own_rows_in_parts():
+    proc, handle = pr.ProcessingTimeWindowProcessor("w", 1000, "n"), Handle()
+    proc.init(handle)
+    words = np.array([f"v{i % 150_000}" for i in range(N)], dtype=object)
+    for now in (500, 1500):  # two open windows
+        proc.handleInputRows((0,), frames({"w": words, "n": np.ones(N, dtype=np.int64)}), At(now))
+    assert handle.timer_at == [1000, 2000]
+    for fires in handle.timer_at:
+        out = list(proc.handleExpiredTimer((0,), None, At(fires)))
+        assert len(out) > 1 and max(map(len, out)) < 150_000 / 4
+        got = pd.concat(out)
+        assert got["w"].is_unique and len(got) == 150_000 and (got["n"] == 2).all()
+        assert (got["window_start"] == pd.Timestamp(fires - 1000, unit="ms")).all()
+    assert not any(m.d for m in handle.maps.values())

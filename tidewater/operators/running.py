@@ -43,7 +43,8 @@ def _ranges(df: DataFrame, by: list[str], parts: int | None) -> DataFrame:
     numbered = df.withColumn("__row", F.monotonically_increasing_id())
     order = [*by, "__row"]
     dealt = numbered.repartitionByRange(parts, *order) if parts else numbered.repartitionByRange(*order)
-    dealt = dealt.withColumn("__part", F.spark_partition_id())
+    # sorted, so that a key and its order stand in runs: files, and the shuffle by key and range that reads them, pack well
+    dealt = dealt.sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
     path = scratch_path(df.sparkSession, "ranges")
     dealt.write.parquet(path)
     return df.sparkSession.read.schema(dealt.schema).parquet(path)

@@ -8,6 +8,7 @@ the source's per-trigger limit (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
@@ -305,31 +306,51 @@ class ProcessingTimeWindowProcessor(StatefulProcessor):
     """Tumbling processing-time windows of one bucket of keys, fired by timers.
 
     A batch's rows (``key`` and the count ``out``) fall in the window holding the batch's
-    processing time; they are appended to the bucket's open rows in one call.  A timer at
-    the window end sums the window's rows per key, emits ``(window_start, key, total)`` and
-    drops them, whether or not more input arrived.
+    processing time; they are added up and kept as chunks of keys and counts under (window, part of the
+    bucket, chunk number).  A timer at the window end sums the window's chunks per key, emits
+    ``(window_start, key, total)`` and drops them, whether or not more input arrived.  No more than ``ROWS``
+    arriving keys and one of the bucket's ``PARTS`` are held at a time; other windows are not read.
     """
 
+    PARTS = 16
+
     def __init__(self, key: str, size_ms: int, out: str = "cnt"):
         self.key, self.size, self.out = key, size_ms, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        start = StructType([StructField("start", LongType())])
-        self.timers = handle.getMapState("timers", start, StructType([StructField("set", BooleanType())]))
-        self.rows = handle.getListState("rows", StructType([*start.fields, StructField("key", StringType()), StructField("n", LongType())]))
+        start, part, chunk = (StructField(c, LongType()) for c in ("start", "part", "chunk"))
+        self.timers = handle.getMapState("timers", StructType([start]), StructType([StructField("set", BooleanType())]))
+        self.chunks = handle.getMapState("chunks", StructType([start, part]), StructType([StructField("n", LongType())]))
+        self.counts = handle.getMapState("counts", StructType([start, part, chunk]), StructType([StructField("v", StringType())]))
+
+    def _keep(self, start: int, counts: pd.Series) -> None:
+        part = (pd.util.hash_array(counts.index.to_numpy(dtype=object), categorize=False) % self.PARTS).astype(np.int64)
+        for p, of in counts.groupby(part):
+            found = self.chunks.getValue((start, int(p)))
+            n = found[0] if found else 0
+            self.counts.updateValue((start, int(p), n), (json.dumps([of.index.tolist(), of.tolist()]),))
+            self.chunks.updateValue((start, int(p)), (n + 1,))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return iter([])
         now = timerValues.getCurrentProcessingTimeInMs()
         start = now - now % self.size
-        if not self.timers.containsKey((start,)):
-            self.handle.registerTimer(start + self.size)
-            self.timers.updateValue((start,), (True,))
-        counts = pdf.groupby(self.key)[self.out].sum()
-        self.rows.appendList([(start, k, int(n)) for k, n in counts.items()])
+        held: list[pd.Series] = []
+        for frame in rows:
+            if not len(frame):
+                continue
+            if not held and not self.timers.containsKey((start,)):
+                self.handle.registerTimer(start + self.size)
+                self.timers.updateValue((start,), (True,))
+            held.append(frame.groupby(self.key)[self.out].sum())
+            if sum(map(len, held)) >= ROWS:
+                whole = pd.concat(held).groupby(level=0).sum()
+                held = [whole]
+                if len(whole) >= ROWS // 2:
+                    self._keep(start, whole)
+                    held = []
+        if held:
+            self._keep(start, pd.concat(held).groupby(level=0).sum())
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
@@ -338,15 +359,19 @@ class ProcessingTimeWindowProcessor(StatefulProcessor):
         if not self.timers.containsKey((start,)):
             return
         self.timers.removeKey((start,))
-        rows = list(self.rows.get())
-        later = [tuple(r) for r in rows if r[0] != start]
-        self.rows.clear()
-        if later:
-            self.rows.put(later)
-        due = pd.DataFrame([tuple(r) for r in rows if r[0] == start], columns=["start", "key", "n"])
-        total = due.groupby("key")["n"].sum()
-        yield pd.DataFrame({"window_start": pd.Timestamp(start, unit="ms"), self.key: total.index.to_numpy(dtype=object),
-                            self.out: total.to_numpy()})
+        for part in range(self.PARTS):
+            found = self.chunks.getValue((start, part))
+            if not found:
+                continue
+            totals: dict[str, int] = {}
+            for i in range(found[0]):
+                for k, n in zip(*json.loads(self.counts.getValue((start, part, i))[0]), strict=True):
+                    totals[k] = totals.get(k, 0) + n
+                self.counts.removeKey((start, part, i))
+            self.chunks.removeKey((start, part))
+            names, sums = np.array(list(totals), dtype=object), np.array(list(totals.values()), dtype=np.int64)
+            for at in range(0, len(names), ROWS):
+                yield pd.DataFrame({"window_start": pd.Timestamp(start, unit="ms"), self.key: names[at:at + ROWS], self.out: sums[at:at + ROWS]})
 
     def close(self) -> None:
         pass
