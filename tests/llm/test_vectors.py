@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,21 @@ def test_near_vectors_edges(spark):
         (0, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True), (2, 0, 2, True), (3, 0, 3, True)]
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 20])
+def test_buckets_in_batches_of_any_size(size):
+    """A batch may hold rows of one bucket only, also the last one."""
+    n = 20
+    bucket = np.array([0] * 9 + [1, 1, 2] + [3] * 8)
+    unit = np.tile([1.0, 0.0], (n, 1))
+    rows = pa.table({"dim": pa.array([2] * n, pa.int32()), "t": pa.array([0] * n, pa.int32()), "label": pa.array([0] * n, pa.int32()),
+                     "bucket": bucket, "lo": [0] * n, "hi": [0] * n, "own": [0] * n, "cid": range(n), "m": [1] * n,
+                     "unit": [x.tobytes() for x in unit], "names": [b""] * n})
+    out = pa.Table.from_batches(pstable._compare(0.93)(iter(rows.to_batches(max_chunksize=size)))).to_pydict()
+    links = np.bincount(bucket)[bucket] - 1
+    assert dict(zip(out["cid"], out["links"], strict=True)) == {i: links[i] for i in range(n) if links[i]}
+    assert out["root"] == [int(np.flatnonzero(bucket == bucket[i])[0]) for i in out["cid"]]
+
+
 def _nearest(x, ids, query, k):
     s = np.einsum("ij,j->i", x, x[query])
     order = np.lexsort((ids, -s))

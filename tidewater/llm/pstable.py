@@ -147,9 +147,11 @@ def _compare(cosine: float):
                 group[1:] += x[1:] != x[:-1]
             group = np.cumsum(group > 0)
             ready = rest.num_rows if batch is None else int(np.searchsorted(group, group[-1]))
+            if not ready:  # one bucket so far
+                continue
             table, rest = rest.slice(0, ready), rest.slice(ready)
             step = [table.column(c).to_numpy() for c in ("dim", "t")]
-            cuts = np.flatnonzero(np.append(True, (step[0][1:] != step[0][:-1]) | (step[1][1:] != step[1][:-1]))) if ready else []
+            cuts = np.flatnonzero(np.append(True, (step[0][1:] != step[0][:-1]) | (step[1][1:] != step[1][:-1])))
             for lo, hi in zip(cuts, [*cuts[1:], ready], strict=True):
                 rows = table.slice(lo, hi - lo)
                 dim, t = int(step[0][lo]), int(step[1][lo])
